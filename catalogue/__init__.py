@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from catalogue import cleaning, columns, samples
+from catalogue import cleaning, columns, evaluation, models, profiles, samples
 
-MODULES = (columns, cleaning, samples)
+MODULES = (columns, cleaning, samples, profiles, models, evaluation)
 
 
 def queries() -> dict:

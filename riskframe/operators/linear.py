@@ -239,6 +239,7 @@ class LinearFit:
     def rows(self) -> list[tuple]:
         out = []
         for name, b, se in zip(self.names, self.coef, self.se):
+            b, se = (None if v is None else float(v) for v in (b, se))
             z = b / se if b is not None and se else None
             p = math.erfc(abs(z) / math.sqrt(2)) if z is not None else None
             out.append((name, b, se, z, p))
