@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from catalogue import cleaning, columns, evaluation, models, profiles, samples
+from catalogue import cleaning, columns, evaluation, models, profiles, samples, trees
 
-MODULES = (columns, cleaning, samples, profiles, models, evaluation)
+MODULES = (columns, cleaning, samples, profiles, models, trees, evaluation)
 
 
 def queries() -> dict:

@@ -58,13 +58,13 @@ def logit(name: str, cells: str, p: int, ridge: float = 0.0, group: str | None =
 def lloyd(name: str, points: str, ks: Sequence[int], seed: int = 25, steps: int = 10) -> list[str]:
     """CTEs ending in ``<name>_c`` (k, c, ctr) and ``<name>_a`` (k, id, c, gap) for k-means on
     the list column v of ``points`` (id, v), started at the rows of lowest hash."""
-    text = "array_to_string(list_transform(v, z -> round(z * 1e6)::BIGINT), ',')"
+    text = "array_to_string(list_transform(v, lambda z: round(z * 1e6)::BIGINT), ',')"
     k_values = ", ".join(f"({k})" for k in ks)
     ctes = [
         f"{name}_r AS (SELECT v, row_number() OVER (ORDER BY md5({text} || ':{seed}')) AS c FROM (SELECT DISTINCT v FROM {points}))",
         f"{name}_c0 AS (SELECT k, c, v AS ctr FROM {name}_r, (VALUES {k_values}) t(k) WHERE c <= k)",
     ]
-    gap = "list_sum(list_transform(list_zip(v, ctr), z -> (z[1] - z[2]) ** 2))"
+    gap = "list_sum(list_transform(list_zip(v, ctr), lambda z: (z[1] - z[2]) ** 2))"
 
     def assign(i: int) -> str:
         return (
