@@ -167,12 +167,12 @@ _ADA_S = ada_trees("ab", "cells", X, 3, 1.0, variant="samme")
 
 def _first_stump_sql() -> str:
     root = (
-        f"SELECT 1 AS tree, 0 AS node, {_FEATURE} AS feature, nt AS threshold, 1 AS "left", 2 AS "right", NULL::DOUBLE AS leaf_value, "
+        f"SELECT 1 AS tree, 0 AS node, {_FEATURE} AS feature, nt AS threshold, 1 AS \"left\", 2 AS \"right\", NULL::DOUBLE AS leaf_value, "
         f"tb AS cover, gain FROM {_STUMP_ROW['splits'][0]}"
     )
     leaf = f"SELECT 1, node, NULL, NULL, NULL, NULL, leaf, gb, 0.0 FROM {_STUMP_ROW['leaves']}"
     return _with(_CELLS, *_STUMP.ctes) + (
-        "SELECT tree, node, feature, round(threshold, 5) AS threshold, "left", "right", round(leaf_value, 5) AS leaf_value, "
+        "SELECT tree, node, feature, round(threshold, 5) AS threshold, \"left\", \"right\", round(leaf_value, 5) AS leaf_value, "
         f"round(cover, 5) AS cover, round(gain, 5) AS gain FROM ({root} UNION ALL {leaf}) t(tree, node, feature, threshold, \"left\", \"right\", leaf_value, cover, gain)"
     )
 
