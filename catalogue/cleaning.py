@@ -92,7 +92,7 @@ def winsorize_exact(spark, sf):
 
 
 def winsorize_sketch(spark, sf):
-    """Share of clamped rows by the sketched bounds; no SQL twin, the sketch is approximate."""
+    """Share of clamped rows by the sketched bounds, to the two digits that the sketch fixes."""
     lines = table(spark, sf, "lineitem").select("l_extendedprice", F.col("l_extendedprice").alias("raw"))
     clamped = S.winsorize(lines, ["l_extendedprice"])
     return clamped.agg(
@@ -202,7 +202,11 @@ QUERIES = {
         winsorize_exact,
         f"WITH b AS (SELECT {_BOUNDS} FROM lineitem) SELECT l_linestatus, {_CLAMP} FROM lineitem, b GROUP BY 1",
     ),
-    "winsorize_sketch": (winsorize_sketch, None),
+    "winsorize_sketch": (
+        winsorize_sketch,
+        f"WITH b AS (SELECT {_BOUNDS} FROM lineitem) SELECT count(*) AS n, round(avg(CAST(l_extendedprice < l_extendedprice_lo "
+        "OR l_extendedprice > l_extendedprice_hi AS INTEGER)), 2) AS clamped_share FROM lineitem, b",
+    ),
     "impute_mean": (
         impute_mean,
         "WITH m AS (SELECT avg(nullif(l_discount, 0.0)) AS v FROM lineitem) "

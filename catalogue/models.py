@@ -54,12 +54,13 @@ def glm_significant(spark, sf):
 
 
 def glm_significant_columns(spark, sf):
-    """Dummy table reduced to the significant columns and the target, counted by pattern."""
+    """Dummy table reduced to the significant columns and the target, summed by target."""
     lines = line_study(spark, sf)
     levels = factors(lines, ["l_returnflag"])
     names = [name for name, _, _, _, p in _glm_factor(spark, sf).rows() if p is not None and p <= 0.1 and name != L.INTERCEPT]
     chosen = L.select_significant(dummy_columns(lines, levels), names, "y")
-    return chosen.groupBy(*[quoted(c) for c in chosen.columns]).agg(F.count("*").alias("n"))
+    long = chosen.withColumns({c: quoted(c).cast("double") for c in names}).unpivot(["y"], names, "name", "value")
+    return rounded(long.groupBy("name", "y").agg(F.sum("value").alias("total"), F.count("*").alias("n")))
 
 
 # ---- ridge -----------------------------------------------------------------------------
@@ -275,7 +276,13 @@ QUERIES = {
         # p <= 0.1 is |z| >= the upper 5% point of the normal law
         _FACTOR + f"SELECT name, round(b, 5) AS estimate FROM ({_FACTOR_LONG}) WHERE abs(b / se) >= 1.6448536269514722 AND name <> '(Intercept)'",
     ),
-    "glm_significant_columns": (glm_significant_columns, None),
+    "glm_significant_columns": (
+        glm_significant_columns,
+        _FACTOR + "SELECT name, y, round(sum(value), 6) AS total, count(*) AS n FROM (SELECT y, "
+        "unnest(['l_quantity', 'l_returnflagN', 'l_returnflagR']) AS name, "
+        f"unnest([l_quantity, {_flag('N')}, {_flag('R')}]) AS value FROM study) JOIN ({_FACTOR_LONG}) USING (name) "
+        "WHERE abs(b / se) >= 1.6448536269514722 GROUP BY 1, 2",
+    ),
     "ridge_importance": (
         ridge_importance,
         _RIDGE + "SELECT 'l_quantity' AS feature, round(b1, 6) AS importance FROM fit UNION ALL SELECT 'l_tax', round(b2, 6) FROM fit",
