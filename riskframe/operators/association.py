@@ -3,27 +3,31 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
+from riskframe.sources.scratch import materialize
 
 SMALL_CUBE = 1_000_000
 
 
-def pair_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def pair_counts(df: DataFrame, cols: Sequence[str], level_counts: Mapping[str, int] | None = None) -> DataFrame:
     """``(i, j, a, b, n)`` for column positions i < j: the contingency counts of all pairs.
 
     If the columns' level counts multiply to a small number, equal rows are first folded into
     one weighted row, so the expansion to pairs touches that few rows only; otherwise each row
-    is expanded and the pair counts are combined in the task before the shuffle.
+    is expanded and the pair counts are combined in the task before the shuffle.  Known
+    ``level_counts`` save the sketch pass that finds them.
     """
     rows = df.select(*[quoted(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
     names = rows.columns
-    levels = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first()
-    if math.prod(levels[c] + 1 for c in names) <= SMALL_CUBE:
+    if level_counts is None:
+        sketch = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first()
+        level_counts = {c: sketch[name] for c, name in zip(cols, names)}
+    if math.prod(level_counts[c] + 1 for c in cols) <= SMALL_CUBE:
         rows = rows.groupBy(*names).agg(F.count("*").alias("w"))
     else:
         rows = rows.withColumn("w", F.lit(1).cast("long"))
@@ -38,14 +42,15 @@ def pair_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return cells.groupBy("i", "j", "a", "b").agg(F.sum("w").alias("n"))
 
 
-def cramers_v(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def cramers_v(df: DataFrame, cols: Sequence[str], level_counts: Mapping[str, int] | None = None) -> DataFrame:
     """Symmetric ``(var_a, var_b, v)`` with ones on the diagonal; no continuity correction.
 
     Uses chi2 / n = sum(o^2 / (row total * column total)) - 1, so empty cells need no rows.
-    A column with one level has no defined V (null).
+    A column with one level has no defined V (null).  The counts are written once, since the
+    row totals, column totals and sizes all start from them.
     """
     cols = list(cols)
-    cells = pair_counts(df, cols)
+    cells = materialize(pair_counts(df, cols, level_counts), "pairs")
     pair = ["i", "j"]
     row = cells.groupBy(*pair, "a").agg(F.sum("n").alias("row_n"))
     col = cells.groupBy(*pair, "b").agg(F.sum("n").alias("col_n"))

@@ -36,7 +36,7 @@ class FitRows:
     scale: np.ndarray
     n: float
     successes: float
-    groups: list = field(default_factory=list)
+    grouped: bool = False
 
     def release(self) -> None:
         self.kept.release()
@@ -63,9 +63,6 @@ def fit_rows(df: DataFrame, y: str, columns: Sequence[Column], group: str | None
         raise ValueError("no complete rows to fit")
     shift = np.array([stats[f"m_{x}"] for x in xs])
     scale = np.array([stats[f"sd_{x}"] or 1.0 for x in xs])
-    groups = []
-    if group:
-        groups = [r["g"] for r in base.select("g").distinct().orderBy("g").collect()]
     extra = ["g"] if group else []
     occupied = stats["occupied"]
     if fold and stats["d"] * 4 <= stats["n"]:
@@ -74,7 +71,7 @@ def fit_rows(df: DataFrame, y: str, columns: Sequence[Column], group: str | None
     else:
         base = base.withColumns({"s": F.col("y"), "n": F.lit(1.0)})
     packed = base.select(F.array(*xs).alias("x"), "s", "n", *extra)
-    return FitRows(keep_for_passes(packed, occupied), shift, scale, stats["n"], stats["s"], groups)
+    return FitRows(keep_for_passes(packed, occupied), shift, scale, stats["n"], stats["s"], group is not None)
 
 
 # ---- the Newton loop -------------------------------------------------------------------
@@ -120,7 +117,7 @@ def independent(h: np.ndarray, tol: float = 1e-9) -> list[int]:
 
 def _pass(rows: FitRows, sets: Mapping[int, LogitSet]) -> dict[int, tuple]:
     """X'WX, score and deviance of each set at its current coefficients."""
-    shift, scale, grouped = rows.shift, rows.scale, bool(rows.groups)
+    shift, scale, grouped = rows.shift, rows.scale, rows.grouped
     plan = {k: (np.array([0, *[c + 1 for c in s.cols]]), s.beta, s.group) for k, s in sets.items()}
 
     def one(x, s, n, beta):
@@ -140,15 +137,16 @@ def _pass(rows: FitRows, sets: Mapping[int, LogitSet]) -> dict[int, tuple]:
         x = (matrix(batch, "x") - shift) / scale
         x = np.hstack([np.ones((len(x), 1)), x])
         s, n = vector(batch, "s"), vector(batch, "n")
-        g = np.array(batch.column("g").to_pylist(), dtype=object) if grouped else None
+        if not grouped:
+            return {k: one(x[:, cols], s, n, beta) for k, (cols, beta, _) in plan.items()}
+        coded = batch.column(batch.schema.get_field_index("g")).dictionary_encode()
+        code_of = {v: i for i, v in enumerate(coded.dictionary.to_pylist())}
+        codes = coded.indices.to_numpy()
         out = {}
         for k, (cols, beta, group) in plan.items():
-            if g is None:
-                out[k] = one(x[:, cols], s, n, beta)
-            else:
-                hit = g == group
-                if hit.any():
-                    out[k] = one(x[hit][:, cols], s[hit], n[hit], beta)
+            if group in code_of:
+                hit = codes == code_of[group]
+                out[k] = one(x[hit][:, cols], s[hit], n[hit], beta)
         return out
 
     totals = summed(rows.kept, kernel)
@@ -381,11 +379,11 @@ def per_group_logit(
     rows = fit_rows(df, y, d.columns, group)
     try:
         both = rows.kept.df.groupBy("g").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
-        mixed = {r["g"] for r in both if 0 < r["s"] < r["n"]}
-        fitted = [g for g in rows.groups if g in mixed]
+        groups = sorted(r["g"] for r in both)
+        fitted = sorted(r["g"] for r in both if 0 < r["s"] < r["n"])
         sets = [LogitSet(list(range(len(x))), group=g, ridge=1.0 / C) for g in fitted]
         done = dict(zip(fitted, fit_logits(rows, sets, tol, max_iter)))
-        fits = {g: finish(rows, done[g], d) if g in done else None for g in rows.groups}
+        fits = {g: finish(rows, done[g], d) if g in done else None for g in groups}
         return GroupFits(group, list(x), fits, kind)
     finally:
         rows.release()

@@ -140,12 +140,17 @@ class Tree:
     error: float = 0.0
 
     def route(self, bins: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(bins), dtype=np.int32)
-        rows = np.arange(len(bins))
+        """Leaf position of every row; a leaf is its own child, so all rows take equal steps."""
+        n, width = bins.shape
+        leaf = self.feature < 0
+        own = np.arange(len(leaf))
+        feature = np.where(leaf, 0, self.feature).astype(np.int64)
+        child = np.column_stack([np.where(leaf, own, self.left), np.where(leaf, own, self.right)]).ravel()
+        flat, start = bins.ravel(), np.arange(n, dtype=np.int64) * width
+        node = np.zeros(n, dtype=np.int64)
         for _ in range(self.depth):
-            f = self.feature[node]
-            below = bins[rows, np.maximum(f, 0)] <= self.cut[node]
-            node = np.where(f < 0, node, np.where(below, self.left[node], self.right[node]))
+            right = flat.take(start + feature.take(node)) > self.cut.take(node)
+            node = child.take(2 * node + right)
         return node
 
 
