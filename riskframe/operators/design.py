@@ -17,6 +17,14 @@ def factor(df: DataFrame, col: str, levels: Sequence[str] | None = None, baselin
     return factors(df, [col], {col: levels} if levels else None, {col: baseline})[col]
 
 
+def check_levels(df: DataFrame, cols: Sequence[str], max_levels: int) -> None:
+    """Raise before the levels of an identifier-like column are listed in one place."""
+    sizes = df.agg(*[F.approx_count_distinct(quoted(c)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    wide = [c for i, c in enumerate(cols) if sizes[f"d{i}"] > max_levels]
+    if wide:
+        raise ValueError(f"too many levels for a factor: {', '.join(wide)}")
+
+
 def factors(
     df: DataFrame,
     cols: Sequence[str],
@@ -29,10 +37,7 @@ def factors(
     known = {c: list(v) for c, v in (levels or {}).items()}
     todo = [c for c in cols if c not in known]
     if todo:
-        sizes = df.agg(*[F.approx_count_distinct(quoted(c)).alias(f"d{i}") for i, c in enumerate(todo)]).first()
-        wide = [c for i, c in enumerate(todo) if sizes[f"d{i}"] > max_levels]
-        if wide:
-            raise ValueError(f"too many levels for a factor: {', '.join(wide)}")
+        check_levels(df, todo, max_levels)
         long = df.select(*[quoted(c).cast("string").alias(c) for c in todo]).unpivot([], todo, "column", "level")
         for r in long.dropna().distinct().collect():
             known.setdefault(r["column"], []).append(r["level"])

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.columns import quoted, require_columns
+from riskframe.operators.design import check_levels
 from riskframe.operators.ranks import exact_quantiles
 
+MAX_LABELS = 1_000_000
+
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str, on_null: str = "error") -> DataFrame:
     """Numeric columns to one ML vector; ``on_null``: error, keep or skip."""
@@ -103,7 +106,9 @@ def impute(
 
 
 def category_index(df: DataFrame, cols: Sequence[str], order: str = "frequencyDesc") -> DataFrame:
-    """Fitted dictionary ``(column, label, n, idx)``; one shuffle for all columns."""
+    """Fitted dictionary ``(column, label, n, idx)``; one shuffle for all columns.  The labels
+    of a column are ranked together, so identifier-like columns are refused."""
+    check_levels(df, cols, MAX_LABELS)
     labels = df.select(*[quoted(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "label")
     counts = labels.dropna().groupBy("column", "label").agg(F.count("*").alias("n"))
     sort = {
@@ -119,7 +124,9 @@ def category_index(df: DataFrame, cols: Sequence[str], order: str = "frequencyDe
 def index_categories(
     df: DataFrame, cols: Sequence[str], order: str = "frequencyDesc", invalid: str = "keep", suffix: str = "_idx"
 ) -> DataFrame:
-    """Label indices by frequency (ties by label); unseen and null labels get one extra index."""
+    """Label indices by frequency (ties by label); unseen and null labels get one extra index.
+    The label dictionary is part of the model, so identifier-like columns are refused."""
+    check_levels(df, cols, MAX_LABELS)
     model = StringIndexer(
         inputCols=list(cols),
         outputCols=[c + suffix for c in cols],

@@ -23,60 +23,44 @@ def bucket_count(df: DataFrame) -> int:
 
 
 def running_totals(
-    df: DataFrame,
-    value: str,
-    totals: Sequence[str],
-    by: Sequence[str] = (),
-    descending: bool = False,
-    following: Sequence[str] = (),
+    df: DataFrame, value: str, totals: Sequence[str], descending: bool = False, following: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``cum_<t>`` for every total, its sum over all rows up to and including this one,
-    and ``total_<t>``, its sum over the whole group.
+    and ``total_<t>``, its sum over all rows.
 
-    ``df`` has one row per (by, value) and few distinct ``by`` groups (columns, folds,
-    segments).  ``following`` adds ``next_<c>``: the column's value on the next row.
+    ``df`` has one row per value.  ``following`` adds ``next_<c>``: the column's value on the
+    next row.
     """
-    by = list(by)
     buckets = bucket_count(df)
     probs = [i / buckets for i in range(1, buckets)]
-    sketch = F.array_distinct(F.percentile_approx(value, probs, 10 * buckets)).alias("_splits")
-    if by:
-        # at most 511 numbers per group
-        tagged = df.join(F.broadcast(df.groupBy(*by).agg(sketch)), by)
-        splits = F.col("_splits")
-    else:
-        tagged = df
-        splits = F.lit(df.agg(sketch).first()["_splits"] or []).cast("array<double>")
+    sketch = df.agg(F.array_distinct(F.percentile_approx(value, probs, 10 * buckets)).alias("splits")).first()
+    splits = F.lit(sketch["splits"] or []).cast("array<double>")
     position = F.size(F.filter(splits, lambda s: s < F.col(value)))
-    tagged = tagged.withColumn("_bucket", -position if descending else position).drop("_splits")
+    tagged = df.withColumn("_bucket", -position if descending else position)
 
     direction = F.desc if descending else F.asc
-    first_key = (F.max_by if descending else F.min_by)
-    per_bucket = tagged.groupBy(*by, "_bucket").agg(
+    first_key = F.max_by if descending else F.min_by
+    per_bucket = tagged.groupBy("_bucket").agg(
         *[F.sum(t).alias(f"_sum_{t}") for t in totals],
         *[first_key(c, value).alias(f"_first_{c}") for c in following],
     )
-    across = Window.partitionBy(*by).orderBy("_bucket")
+    # one row per bucket, at most 512, in these windows and in the broadcast
+    across = Window.orderBy("_bucket")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
-        *by,
         "_bucket",
         *[F.coalesce(F.sum(f"_sum_{t}").over(before), F.lit(0)).alias(f"_off_{t}") for t in totals],
-        *[F.sum(f"_sum_{t}").over(Window.partitionBy(*by)).alias(f"total_{t}") for t in totals],
+        *[F.sum(f"_sum_{t}").over(Window.partitionBy()).alias(f"total_{t}") for t in totals],
         *[F.lead(f"_first_{c}").over(across).alias(f"_lead_{c}") for c in following],
     )
-    inside = Window.partitionBy(*by, "_bucket").orderBy(direction(value))
+    inside = Window.partitionBy("_bucket").orderBy(direction(value))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = tagged.join(F.broadcast(offsets), [*by, "_bucket"])
     last = F.lead(F.lit(1)).over(inside).isNull()
-    return joined.select(
+    return tagged.join(F.broadcast(offsets), "_bucket").select(
         *df.columns,
         *[(F.col(f"_off_{t}") + F.sum(t).over(upto)).alias(f"cum_{t}") for t in totals],
         *[F.col(f"total_{t}") for t in totals],
-        *[
-            F.when(last, F.col(f"_lead_{c}")).otherwise(F.lead(c).over(inside)).alias(f"next_{c}")
-            for c in following
-        ],
+        *[F.when(last, F.col(f"_lead_{c}")).otherwise(F.lead(c).over(inside)).alias(f"next_{c}") for c in following],
     )
 
 
