@@ -18,16 +18,16 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
 from riskframe.operators.partials import dense, summed, vector
-from riskframe.operators.placement import Kept, keep_for_passes, occupied_partitions, with_task
+from riskframe.operators.placement import Kept, keep_folded, keep_for_passes, occupied_partitions, with_task
 from riskframe.operators.trees import (
     Cuts,
     GiniRule,
     Grower,
     NewtonRule,
     Tree,
-    _bytes_column,
-    bin_matrix,
     binned,
+    byte_column,
+    byte_matrix,
     feature_array,
     find_cuts,
 )
@@ -178,17 +178,18 @@ class BoostRows:
 
 def boost_rows(df: DataFrame, y: str, x: Sequence[str], max_bins: int, at: str) -> BoostRows:
     cuts, fold, occupied = find_cuts(df, x, max_bins, at)
-    return BoostRows(keep_for_passes(binned(df, y, cuts, fold), None if fold else occupied), cuts)
+    rows = binned(df, y, cuts, fold is not None)
+    return BoostRows(keep_for_passes(rows, occupied) if fold is None else keep_folded(rows, fold), cuts)
 
 
 def _margin_reader(models: Sequence[Booster], written: int, width: int, dtype) -> Callable:
     """Function from a batch to (bins, list of margins), margins including the recent trees."""
+    n_models = len(models)
 
     def read(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
-        bins = bin_matrix(batch, width, dtype)
+        bins = byte_matrix(batch, "bins", width, dtype)
         if written:
-            column = batch.column(batch.schema.get_field_index("margins"))
-            stored = np.frombuffer(b"".join(column.to_pylist()), dtype=float).reshape(len(bins), -1)
+            stored = byte_matrix(batch, "margins", n_models, np.dtype(float))
             return bins, [m.margin(bins, stored[:, i], written) for i, m in enumerate(models)]
         return bins, [m.margin(bins, m.base) for m in models]
 
@@ -250,7 +251,7 @@ def _write_margins(rows: BoostRows, models: Sequence[Booster]) -> BoostRows:
                 _, margins = read(batch)
                 keep = [batch.column(batch.schema.get_field_index(c)) for c in ("bins", "y", "n")]
                 yield pa.RecordBatch.from_arrays(
-                    [*keep, _bytes_column(np.column_stack(margins))], names=["bins", "y", "n", "margins"]
+                    [*keep, byte_column(np.column_stack(margins))], names=["bins", "y", "n", "margins"]
                 )
 
     new = materialize(rows.kept.df.mapInArrow(run, "bins binary, y double, n double, margins binary"), "margins")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import quoted
 from riskframe.operators.design import Design, design
 from riskframe.operators.partials import dense, matrix, summed, vector
-from riskframe.operators.placement import Kept, keep_for_passes, occupied_partitions, with_task
+from riskframe.operators.placement import Kept, keep_folded, keep_for_passes, occupied_partitions, with_task
 
 INTERCEPT = "(Intercept)"
 PASS_BUDGET = 2_000_000  # doubles of partial sums per task and pass
@@ -64,14 +64,14 @@ def fit_rows(df: DataFrame, y: str, columns: Sequence[Column], group: str | None
     shift = np.array([stats[f"m_{x}"] for x in xs])
     scale = np.array([stats[f"sd_{x}"] or 1.0 for x in xs])
     extra = ["g"] if group else []
-    occupied = stats["occupied"]
-    if fold and stats["d"] * 4 <= stats["n"]:
-        occupied = None
+    fold = fold and stats["d"] * 4 <= stats["n"]
+    if fold:
         base = base.groupBy(*xs, *extra).agg(F.sum("y").alias("s"), F.count("*").cast("double").alias("n"))
     else:
         base = base.withColumns({"s": F.col("y"), "n": F.lit(1.0)})
     packed = base.select(F.array(*xs).alias("x"), "s", "n", *extra)
-    return FitRows(keep_for_passes(packed, occupied), shift, scale, stats["n"], stats["s"], group is not None)
+    kept = keep_folded(packed, stats["d"]) if fold else keep_for_passes(packed, stats["occupied"])
+    return FitRows(kept, shift, scale, stats["n"], stats["s"], group is not None)
 
 
 # ---- the Newton loop -------------------------------------------------------------------

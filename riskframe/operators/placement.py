@@ -33,16 +33,24 @@ class Kept:
         self.df.unpersist()
 
 
-def keep_for_passes(df: DataFrame, occupied: int | None = None) -> Kept:
+ROWS_PER_TASK = 20_000  # folded rows that make a Python task worth its start
+
+
+def keep_for_passes(df: DataFrame, occupied: int) -> Kept:
     """Persist.  ``occupied`` is the number of tasks that hold rows: input in fewer pieces than
     there are cores is spread over them first, any other input stays where it is and costs no
-    shuffle.  Leave it out for the result of a shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if occupied is None:
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    elif occupied < cores:
+    shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if occupied < cores:
         df, tasks = df.repartition(cores), cores
     else:
         tasks = 2 * occupied  # the sketch is exact to a few percent
     return Kept(df.persist(StorageLevel.MEMORY_AND_DISK), tasks)
+
+
+def keep_folded(df: DataFrame, rows: int) -> Kept:
+    """Persist the result of a shuffle that holds about ``rows`` rows, in as few of its
+    partitions as they need."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(partitions, -(-rows // ROWS_PER_TASK)))
+    return Kept(df.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK), tasks)

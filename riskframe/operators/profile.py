@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import numeric_columns, quoted, string_columns
@@ -24,35 +24,35 @@ def summarize(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tr
     cols = list(df.columns if cols is None else cols)
     num = [c for c in numeric_columns(df) if c in cols]
     text = [c for c in string_columns(df) if c in cols]
-    types = {c: t for c, t in df.dtypes}
-
-    long = df.select(*[quoted(c).cast("double").alias(c) for c in num], F.lit(0.0).alias("_rows")).unpivot(
-        [], [*num, "_rows"], "column", "value"
+    types = dict(df.dtypes)
+
+    aggs, cells = [F.count("*").cast("double").alias("rows")], []
+
+    def cell(column: str, stat: str, value: Column) -> None:
+        cells.append(F.struct(
+            F.lit(column).alias("column"), F.lit(types[column]).alias("type"), F.lit(stat).alias("stat"), value.alias("value")
+        ))
+
+    for i, c in enumerate(num):
+        x = quoted(c).cast("double")
+        for stat, f in (("min", F.min), ("mean", F.avg), ("max", F.max)):
+            aggs.append(f(x).alias(f"{stat}{i}"))
+            cell(c, stat, F.col(f"{stat}{i}"))
+        if not exact:
+            aggs.append(F.percentile_approx(x, list(QUARTILES), 10_000).alias(f"q{i}"))
+            for k, stat in enumerate(QUARTILES.values()):
+                cell(c, stat, F.col(f"q{i}")[k])
+    for c in text:
+        cell(c, "length", F.col("rows"))
+    out = df.agg(*aggs).select(F.inline(F.array(*cells)))
+    if not (num and exact):
+        return out
+    names = F.create_map(*[F.lit(x) for kv in QUARTILES.items() for x in kv])
+    kinds = F.create_map(*[F.lit(x) for c in num for x in (c, types[c])])
+    quartiles = exact_quantiles(df, num, list(QUARTILES)).select(
+        "column", kinds[F.col("column")].alias("type"), names[F.col("prob")].alias("stat"), "value"
     )
-    aggs = [F.min("value").alias("min"), F.avg("value").alias("mean"), F.max("value").alias("max")]
-    if not exact:
-        quartile = F.percentile_approx("value", list(QUARTILES), 10_000)
-        aggs.append(quartile.alias("_q"))
-    stats = long.groupBy("column").agg(F.count("*").alias("length"), *aggs)
-    if not exact:
-        stats = stats.withColumns({name: F.col("_q")[i] for i, name in enumerate(QUARTILES.values())}).drop("_q")
-
-    measured = [c for c in stats.columns if c not in ("column", "length")]
-    parts = []
-    if num:
-        parts.append(stats.filter(F.col("column") != "_rows").unpivot("column", measured, "stat", "value"))
-    if num and exact:
-        names = F.create_map(*[F.lit(x) for kv in QUARTILES.items() for x in kv])
-        parts.append(exact_quantiles(df, num, list(QUARTILES)).select("column", names[F.col("prob")].alias("stat"), "value"))
-    if text:
-        rows = stats.filter(F.col("column") == "_rows")
-        named = rows.withColumn("column", F.explode(F.array(*[F.lit(c) for c in text])))
-        parts.append(named.select("column", F.lit("length").alias("stat"), F.col("length").cast("double").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    kind = F.create_map(*[F.lit(x) for c in [*num, *text] for x in (c, types[c])])
-    return out.select("column", kind[F.col("column")].alias("type"), "stat", "value")
+    return out.unionByName(quartiles)
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -52,10 +52,10 @@ class Cuts:
         return out
 
 
-def find_cuts(df: DataFrame, x: Sequence[str], max_bins: int = 256, at: str = "value") -> tuple[Cuts, bool, int]:
+def find_cuts(df: DataFrame, x: Sequence[str], max_bins: int = 256, at: str = "value") -> tuple[Cuts, int | None, int]:
     """Cuts between all distinct values where a feature has at most ``max_bins`` of them, else
-    at approximate quantiles.  Also says whether whole rows repeat often enough to fold, and
-    how many tasks hold rows."""
+    at approximate quantiles.  Also gives the number of rows after folding, if rows repeat
+    often enough for that, and the number of tasks that hold rows."""
     require_columns(df, x)
     wide = df.select(*[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(x)])
     names = wide.columns
@@ -80,16 +80,16 @@ def find_cuts(df: DataFrame, x: Sequence[str], max_bins: int = 256, at: str = "v
     for c in names:
         v = np.unique(np.array(values[c], dtype=float))
         points.append(v[1:] if at == "value" else (v[1:] + v[:-1]) / 2)
-    return Cuts(list(x), points, at), seen["rows"] * 8 <= seen["n"], seen["occupied"]
+    return Cuts(list(x), points, at), (2 * seen["rows"] if seen["rows"] * 8 <= seen["n"] else None), seen["occupied"]
 
 
 def feature_array(x: Sequence[str]):
     return F.array(*[quoted(c).cast("double") for c in x])
 
 
-def bin_matrix(batch: pa.RecordBatch, width: int, dtype: np.dtype) -> np.ndarray:
-    """The ``bins`` column as an (n, width) matrix over the Arrow buffer."""
-    column = batch.column(batch.schema.get_field_index("bins"))
+def byte_matrix(batch: pa.RecordBatch, name: str, width: int, dtype: np.dtype) -> np.ndarray:
+    """A binary column of equal-sized rows as an (n, width) matrix over the Arrow buffer."""
+    column = batch.column(batch.schema.get_field_index(name))
     offset = np.dtype("i8") if pa.types.is_large_binary(column.type) else np.dtype("i4")
     _, offsets, data = column.buffers()
     start = np.frombuffer(offsets, dtype=offset)[column.offset]
@@ -97,7 +97,7 @@ def bin_matrix(batch: pa.RecordBatch, width: int, dtype: np.dtype) -> np.ndarray
     return flat.reshape(len(column), width)
 
 
-def _bytes_column(values: np.ndarray) -> pa.Array:
+def byte_column(values: np.ndarray) -> pa.Array:
     values = np.ascontiguousarray(values)
     width = values.dtype.itemsize * values.shape[1]
     offsets = np.arange(0, (len(values) + 1) * width, width, dtype=np.int32)
@@ -112,7 +112,7 @@ def binned(df: DataFrame, y: str, cuts: Cuts, fold: bool = False) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 bins = cuts.bin(matrix(batch, "x"))
-                yield pa.RecordBatch.from_arrays([_bytes_column(bins), batch.column(1)], names=["bins", "y"])
+                yield pa.RecordBatch.from_arrays([byte_column(bins), batch.column(1)], names=["bins", "y"])
 
     out = packed.mapInArrow(run, "bins binary, y double")
     if fold:
