@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskframe.llm import mixture
+from riskframe.llm import mixture, secret_scan, token_lattice, training_order
 
-MODULES = (mixture,)
+MODULES = (token_lattice, secret_scan, training_order, mixture)
 
 
 def queries() -> dict:
