@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskframe.llm import mixture, secret_scan, token_lattice, training_order
+from riskframe.llm import cotraining, decontaminate, mixture, quote_links, secret_scan, token_lattice, training_order
 
-MODULES = (token_lattice, secret_scan, training_order, mixture)
+MODULES = (quote_links, decontaminate, cotraining, token_lattice, secret_scan, training_order, mixture)
 
 
 def queries() -> dict:
