@@ -207,7 +207,7 @@ def co_train(
     rounds: int = 4,
     share: float = 0.1,
     sure: float = 0.97,
-    spared: float = 0.001,
+    spared: float = 0.004,
 ) -> CoTrained:
     """Fit on rows with label 1 (keep), 0 (reject) or -1 (unlabelled), in a fixed order.
 
@@ -339,15 +339,17 @@ def fit_quality(
     return co_train(views, content, metadata, np.array([r["label"] for r in found]))
 
 
-def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
-    """Adds content, metadata and score (probabilities) and kept to every document.
+def score_quality(docs: DataFrame, model: CoTrained | None, prefix: str = "") -> DataFrame:
+    """Adds content, metadata and score (probabilities) and kept to every document, with
+    ``prefix`` before these names; columns that had them are replaced.
 
     Null and empty texts, languages and sources have features like any other.  Without a model
-    (too few labels) the probabilities are null and every document is kept.
+    (too few labels) the probabilities are null and every document is kept.  Repeated rows stay.
     """
-    new = ["content", "metadata", "score", "kept"]
+    new = [prefix + c for c in ("content", "metadata", "score", "kept")]
+    docs = docs.drop(*new)
     if model is None:
-        return docs.select("*", *[F.lit(None).cast("double").alias(c) for c in new[:3]], F.lit(True).alias("kept"))
+        return docs.select("*", *[F.lit(None).cast("double").alias(c) for c in new[:3]], F.lit(True).alias(new[3]))
     views = model.views
     sizes = len(views.vocabulary), len(views.langs) + len(views.sources) + 2
 
@@ -371,7 +373,8 @@ def score_quality(docs: DataFrame, model: CoTrained | None) -> DataFrame:
                 )
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{schema}, content double, metadata double, score double, kept boolean")
+    added = ", ".join(f"`{c}` {t}" for c, t in zip(new, ("double", "double", "double", "boolean")))
+    return docs.mapInArrow(run, f"{schema}, {added}")
 
 
 def quality_labels(labels: DataFrame) -> DataFrame:

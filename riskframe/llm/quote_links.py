@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.shared import ascii_lower, materialize, table
 
+NEW = ["body", "quote_depth", "n_quotes", "n_linked", "parent_turn", "root_turn", "reply_depth"]
+HELD = ["__lines", "__c", "__t", "__linked", "__parent", "__root", "__hops"]  # names in use inside
 MARKS = r"^(?:[ \t]*>)+"
 ATTRIBUTION = r"(?:wrote|writes|schrieb|a écrit|escribió)[^:]*:[ \t\r]*$"
 
@@ -89,9 +91,10 @@ def link_quotes(
 
     A null text is empty; a null conversation or turn is never linked (root_turn is its turn);
     rows that share conversation and turn are one message for linking and each stay a row; other
-    columns are kept and may have any name but the new ones.  An empty table gives an empty result.
+    columns are kept, and replaced where they have the name of a new one.  An empty table gives
+    an empty result.
     """
-    spark = messages.sparkSession
+    messages = messages.drop(*NEW, *HELD)
     lines = parsed(F.col(text))
     ids = [F.col(conversation).alias("c"), F.col(turn).alias("t")]
     known = messages.where(F.col(conversation).isNotNull() & F.col(turn).isNotNull())
@@ -120,22 +123,27 @@ def link_quotes(
             tops.join(above, ["c", "up"], "left").select("c", "t", F.coalesce("further", "up").alias("up"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops")),
             "quote-tops",
         )
-    threads = up.select("c", "t", F.col("up").alias("parent")).join(tops.select("c", "t", F.col("up").alias("root"), "hops"), ["c", "t"]).join(linked, ["c", "t"])
+    threads = up.select("c", "t", F.col("up").alias("parent")).join(tops.select("c", "t", F.col("up").alias("root"), "hops"), ["c", "t"])
+    threads = threads.join(linked, ["c", "t"]).select("c", "t", "n_linked", "parent", "root", "hops").toDF(*HELD[1:])
 
-    spans = paragraphs(F.col("_lines"))
+    spans = paragraphs(F.col(HELD[0]))
     quoted = F.filter(spans, lambda p: p["depth"] > 0)
-    rows = messages.withColumn("_lines", lines).select(
-        *messages.columns,
-        own_text(F.col("_lines")).alias("body"),
-        F.coalesce(F.array_max(F.transform("_lines", lambda s: s["depth"])), F.lit(0)).cast("long").alias("quote_depth"),
+    own = [F.col(f"`{c}`") for c in messages.columns]
+    depths = F.transform(F.col(HELD[0]), lambda s: s["depth"])
+    rows = messages.withColumn(HELD[0], lines).select(
+        *own,
+        own_text(F.col(HELD[0])).alias("body"),
+        F.coalesce(F.array_max(depths), F.lit(0)).cast("long").alias("quote_depth"),
         F.size(quoted).cast("long").alias("n_quotes"),
     )
-    return rows.join(threads, (rows[conversation] == threads["c"]) & (rows[turn] == threads["t"]), "left").select(
-        *[rows[c] for c in rows.columns],
-        F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
-        F.col("parent").alias("parent_turn"),
-        F.coalesce(F.col("root"), rows[turn]).alias("root_turn"),
-        F.coalesce("hops", F.lit(0)).cast("long").alias("reply_depth"),
+    c, t, n_linked, parent, root, hops = map(F.col, HELD[1:])
+    return rows.join(threads, (F.col(conversation) == c) & (F.col(turn) == t), "left").select(
+        *own,
+        *NEW[:3],
+        F.coalesce(n_linked, F.lit(0)).cast("long").alias("n_linked"),
+        parent.alias("parent_turn"),
+        F.coalesce(root, F.col(turn)).alias("root_turn"),
+        F.coalesce(hops, F.lit(0)).cast("long").alias("reply_depth"),
     )
 
 
