@@ -120,38 +120,49 @@ class Line:
         return np.concatenate([np.ones((len(x), 1), np.float32), z, z * z / 4, x[:, self.dense :]], axis=1)
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.inputs(x) @ self.weights
+        return (self.inputs(x) @ self.weights.astype(np.float32)).astype(np.float64)
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         """Calibrated log-odds."""
         return self.slope * self.raw(x) + self.offset
 
 
-def fitted(x: np.ndarray, y: np.ndarray, weight: np.ndarray, dense: int, start: np.ndarray | None = None, penalty: float = 1.0) -> Line:
-    """Penalised logistic regression by conjugate-gradient Newton steps; needs no p x p matrix."""
+def fitted(x: np.ndarray, y: np.ndarray, weight: np.ndarray, dense: int, start: np.ndarray | None = None, penalty: float = 0.5) -> Line:
+    """Penalised logistic regression by Newton steps, each solved by conjugate gradients (so no
+    p x p matrix) and halved while it does not lower the loss."""
     line = Line(dense, x[:, :dense].mean(0), x[:, :dense].std(0) + 1e-6, np.zeros(1))
     z = line.inputs(x)
-    ridge = np.full(z.shape[1], penalty, np.float32)
+    ridge = np.full(z.shape[1], penalty)
     ridge[0] = 1e-3
-    w = np.zeros(z.shape[1], np.float32) if start is None else start.copy()
-    for _ in range(8):
-        p = logistic(z @ w).astype(np.float32)
-        gradient = z.T @ (weight * (y - p)).astype(np.float32) - ridge * w
-        curve = (weight * np.maximum(p * (1 - p), 1e-4)).astype(np.float32)
+
+    def loss(w: np.ndarray, m: np.ndarray) -> float:
+        return float((weight * (np.logaddexp(0, m) - y * m)).sum() + 0.5 * (ridge * w * w).sum())
+
+    w = np.zeros(z.shape[1]) if start is None else start.copy()
+    m = (z @ w.astype(np.float32)).astype(np.float64)
+    at = loss(w, m)
+    for _ in range(15):
+        p = logistic(m)
+        gradient = (weight * (y - p)).astype(np.float32) @ z - ridge * w
+        curve = weight * p * (1 - p) + 1e-6
         step, r = np.zeros_like(w), gradient.copy()
         d, rr = r.copy(), r @ r
         first = rr
-        for _ in range(30):
-            if rr <= 1e-5 * first or rr < 1e-12:
+        for _ in range(40):
+            if rr <= 1e-4 * first or rr < 1e-12:
                 break
-            hd = z.T @ (curve * (z @ d)) + ridge * d
+            hd = (curve * (z @ d.astype(np.float32))).astype(np.float32) @ z + ridge * d
             a = rr / (d @ hd)
             step += a * d
             r -= a * hd
             rr, before = r @ r, rr
             d = r + rr / before * d
-        w += step
-        if np.abs(step).max(initial=0) < 1e-2:
+        along, size = (z @ step.astype(np.float32)).astype(np.float64), 1.0
+        while loss(w + size * step, m + size * along) > at and size > 1e-3:
+            size /= 2
+        w, m = w + size * step, m + size * along
+        gain, at = at - loss(w, m), loss(w, m)
+        if gain < 1e-4 * max(1.0, at):
             break
     line.weights = w
     return line
@@ -207,7 +218,7 @@ def co_train(
     rounds: int = 4,
     share: float = 0.1,
     sure: float = 0.97,
-    spared: float = 0.004,
+    spared: float = 0.01,
 ) -> CoTrained:
     """Fit on rows with label 1 (keep), 0 (reject) or -1 (unlabelled), in a fixed order.
 

@@ -306,7 +306,7 @@ def test_quality_on_held_out_rows(spark):
     assert np.allclose(again.mix, model.mix, atol=1e-3)
     scored = cotraining.score_quality(docs, model).join(labels.where(~seen), "doc_id")
     rates = {r.label: r.kept for r in scored.groupBy("label").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
-    assert rates[1] > 0.985 and rates[0] < 0.25
+    assert rates[1] > 0.985 and rates[0] < 0.2
 
 
 def test_quality_on_awkward_rows(spark):
