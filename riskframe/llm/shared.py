@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Hashable
+from types import ModuleType
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +16,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 CUTS = r"[\x20\x09-\x0D]+"
 
 
+def kept(name: str, key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once per worker process and key.
+
+    Functions of this library travel by value, so the globals of their modules are new in every
+    task; what is to outlive a task is kept in a module of its own.
+    """
+    home = sys.modules.setdefault("riskframe_kept", ModuleType("riskframe_kept")).__dict__
+    if name not in home or home[name][0] != key:
+        home[name] = (key, make())
+    return home[name][1]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.shared import table
+from riskframe.llm.shared import kept, table
 
 START, BLANK, LETTER, NUMBER, SYMBOL, QUOTE, HELD = range(7)
 # Fixed values of the tokenizer's published split pattern: English contractions after a quote mark.
@@ -255,19 +255,18 @@ class Transducer:
         return self.count(head) + ((count or 0) + self.count(tail) if count is not None else 0)
 
 
-_built: dict[str, Transducer] = {}
+def compiled(source: str) -> Transducer:
+    model = json.loads(source)
+    letters = byte_letters()
+    turn = lambda s: bytes(letters[c] for c in s)
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
+    return Transducer([(turn(a), turn(b)) for a, b in pairs], [t["content"] for t in model["added_tokens"]])
 
 
 def transducer(source: str) -> Transducer:
-    """The transducer of a byte-level tokenizer file (its text), one per worker process."""
-    if source not in _built:
-        model = json.loads(source)
-        letters = byte_letters()
-        turn = lambda s: bytes(letters[c] for c in s)
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
-        _built.clear()
-        _built[source] = Transducer([(turn(a), turn(b)) for a, b in pairs], [t["content"] for t in model["added_tokens"]])
-    return _built[source]
+    """The transducer of a byte-level tokenizer file (its text), one per worker process, which
+    goes on with the states that earlier tasks have compiled."""
+    return kept("transducer", source, lambda: compiled(source))
 
 
 def batches(run: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator], Iterator]:

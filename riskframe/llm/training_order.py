@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.shared import materialize, table
+from riskframe.llm.shared import kept, materialize, table
 
 class Feistel:
     """A keyed permutation of range(n): four Feistel rounds over the next even number of bits,
@@ -65,15 +65,10 @@ def tokenizer(ranks: dict[bytes, int], pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-_open: dict[str, object] = {}
-
-
 def encoder(source: str, pattern: str):
     """The encoder of a rank file (its text), one per worker process."""
-    if source not in _open:
-        _open.clear()
-        _open[source] = tokenizer({base64.b64decode(a): int(b) for a, b in map(str.split, source.splitlines())}, pattern)
-    return _open[source]
+    ranks = lambda: {base64.b64decode(a): int(b) for a, b in map(str.split, source.splitlines())}
+    return kept("encoder", (source, pattern), lambda: tokenizer(ranks(), pattern))
 
 
 def encoded(docs: DataFrame, ranks: str, pattern: str, length: int, key: str, text: str) -> DataFrame:
