@@ -15,7 +15,7 @@ Distances are exact, so the links are those of the full comparison.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from riskframe.llm.shared import components, materialize, table
 
 WORDS = 4
-SLAB = 1 << 22  # bytes hashed at once
+SLAB = 1 << 21  # bytes hashed at once
 BLOCK = 512  # documents of a region in one task
+BROADCAST_ROWS = 1_000_000  # lines of keys that may be sent to every executor
 ID_BYTES = 5  # bytes of a shingle's hash that are kept in a set
 _mix = np.random.default_rng(4).integers(1 << 62, size=256 + 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BYTE, PLACE = _mix[:256].copy(), _mix[256:].copy()
@@ -92,15 +93,25 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def prefix(own: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """The first hashes in the order (rare, hash): one more than a set within the threshold may lack."""
-    length = len(own) - (percent * len(own) + 99) // 100 + 1
-    if not len(own):
-        return own
-    if len(common):
+    """The first places of a set in the order of all shingles, sorted: one more than a set within
+    the threshold may lack.  A place is whether the shingle is common, then 63 bits of its hash."""
+    place = own >> np.uint64(1)
+    if len(own) and len(common):
         at = np.minimum(np.searchsorted(common, own), len(common) - 1)
-        known = common[at] == own
-        own = np.concatenate([own[~known], own[known]])
-    return own[:length]
+        place |= (common[at] == own).astype(np.uint64) << np.uint64(63)
+    return np.sort(place)[: len(own) - (percent * len(own) + 99) // 100 + 1]
+
+
+def may_link(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """Whether two prefixes leave room for the threshold.
+
+    Up to the place where the first of them ends both sets are known in full, so what only one of
+    them has there is part of their difference.  Unrelated sets differ in nearly all of it."""
+    if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
+        return False
+    end = min(a[-1], b[-1])
+    a, b = a[: np.searchsorted(a, end, "right")], b[: np.searchsorted(b, end, "right")]
+    return (len(a) + len(b) - 2 * shared_count(a, b)) * (100 + percent) <= (n_a + n_b) * (100 - percent)
 
 
 def packed(own: np.ndarray) -> bytes:
@@ -201,52 +212,61 @@ def jaccard_components(
 
     known = materialize(rows.mapInArrow(cells, "key long, n long, same long, prefix array<long>"), "jaccard-cells")
 
-    # inner pivots: the document of a cell with the smallest hash; a partial aggregate, so a
-    # frequent shingle is combined in the tasks
+    # inner pivots: the smallest document of a cell; a partial aggregate, so a frequent shingle
+    # is combined in the tasks.  Two members of unlike sizes are no region
     members = known.select("key", "n", F.explode("prefix").alias("cell"))
-    spread = F.struct(F.xxhash64("key").alias("h"), F.col("key").alias("key"))
-    pivots = members.groupBy("cell").agg(F.min(spread)["key"].alias("pivot"), F.max(spread)["key"].alias("last"), F.count("*").alias("size"))
-    pivots = pivots.where("size > 1 and pivot <> last").select("cell", "pivot")
-    regions = members.join(pivots, "cell").select("key", "pivot").distinct()
-    regions = materialize(regions.where("key <> pivot"), "jaccard-regions")
-    every = regions.unionByName(regions.select(F.col("pivot").alias("key"), "pivot").distinct())
-    sizes = regions.groupBy("pivot").count().select("pivot", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    wanted = every.join(sizes, "pivot").groupBy("key").agg(F.collect_list(F.struct("pivot", "blocks")).alias("regions"))
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, lists = batch.column("key").to_pylist(), batch.column("regions").to_pylist()
-            sets = shingle_sets(_encoded(batch.column("text").to_pylist()))
-            out = []
-            for k, s, own in zip(keys, sets, lists):
-                data = packed(s)
-                for r in own:
-                    blocks = range(r["blocks"]) if r["pivot"] == k else [hash(k) % r["blocks"]]
-                    out += [(r["pivot"], b, k, len(s), data) for b in blocks]
-            for part in range(0, len(out), 2000):
-                columns = list(zip(*out[part : part + 2000]))
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["pivot", "block", "key", "n", "ids"])
-
-    schema = "pivot long, block int, key long, n long, ids binary"
-    texts = rows.where(F.col("key").isNotNull()).join(wanted, "key").select("key", "text", "regions")
-    sets = texts.mapInArrow(placed, schema).repartition("pivot", "block").sortWithinPartitions("pivot", "block", (F.col("key") != F.col("pivot")), "key")
-
-    def near_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The pivot comes first in its group; every member gets its intersection with it."""
-        at, own = None, np.zeros(0, np.uint64)
-        for batch in batches:
-            pivot, block, keys = (batch.column(c).to_numpy() for c in ("pivot", "block", "key"))
-            data = batch.column("ids").to_pylist()
-            shared = np.zeros(len(keys), np.int64)
-            for i in range(len(keys)):
-                if at != (pivot[i], block[i]):
-                    at, own = (pivot[i], block[i]), unpacked(data[i])
-                shared[i] = shared_count(own, unpacked(data[i]))
-            yield batch.append_column("shared", pa.array(shared))
-
-    # what lies on both sides of the threshold is kept with its set, until it is known which
-    # regions have documents beyond it
-    measured = sets.mapInArrow(near_pivot, f"{schema}, shared long")
+    sizes = F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most")
+    pivots = members.groupBy("cell").agg(F.min("key").alias("pivot"), *sizes)
+    pivots = pivots.where((F.col("size") > 2) | ((F.col("size") == 2) & (100 * F.col("least") >= percent * F.col("most")))).select("cell", "pivot")
+    regions = members.join(pivots, "cell").where("key <> pivot").select("key", "pivot").distinct()
+    regions = materialize(regions, "jaccard-regions")
+
+    # prefixes alone rule out most members: first against the pivot, then against each other
+    def by_prefix(batch: pa.RecordBatch) -> list[bytes]:
+        return [np.array(v, np.int64).tobytes() for v in batch.column("value").to_pylist()]
+
+    def by_pivot(own: bytes, n_own: int, other: bytes, n: int) -> int:
+        return int(may_link(np.frombuffer(own, np.uint64), np.frombuffer(other, np.uint64), n_own, n, percent))
+
+    prefixes = known.where(F.size("prefix") > 0).select("key", "n", F.col("prefix").alias("value")).dropDuplicates(["key"])
+    judged = _beside_pivot(prefixes, regions, by_prefix, by_pivot).select("pivot", "key", F.col("shared").alias("near"))
+    judged = materialize(judged.where("key <> pivot"), "jaccard-judged")
+    apart = judged.groupBy("pivot").agg(F.count("*").alias("size"), F.min("near").alias("near")).where("size > 1 and near = 0").select("pivot")
+    inside = judged.join(apart, "pivot")
+    tiles = _tiles(_carried(prefixes, inside), ["key", "n", "near", "value"])
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Members away from the pivot that may link with another member, and those others."""
+        for rows in grouped(batches, TILE):
+            key, n, near, part = (rows.column(c).to_numpy() for c in ("key", "n", "near", "part"))
+            own = [np.array(v, np.int64).view(np.uint64) for v in rows.column("value").to_pylist()]
+            two = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+            alive = np.zeros(len(key), bool)
+            for i in np.flatnonzero(near == 0):
+                # every partner stays, unless it is known to stay already
+                fits = (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (np.arange(len(key)) != i)
+                fits &= (part != part[i]) if two else True
+                if alive[i]:
+                    fits &= ~alive & (near == 0)
+                for j in np.flatnonzero(fits):
+                    if alive[i] and (alive[j] or near[j]):
+                        continue
+                    if may_link(own[i], own[j], n[i], n[j], percent):
+                        alive[i] = alive[j] = True
+            if alive.any():
+                yield pa.record_batch([pa.array(key[alive]), pa.array(rows.column("pivot").to_numpy()[alive])], ["key", "pivot"])
+
+    regions = judged.where("near = 1").select("key", "pivot").unionByName(tiles.mapInArrow(partners, "key long, pivot long")).distinct()
+    regions = materialize(regions, "jaccard-alive")
+
+    def by_text(batch: pa.RecordBatch) -> list[bytes]:
+        return [packed(s) for s in shingle_sets(_encoded(batch.column("value").to_pylist()))]
+
+    def by_set(own: bytes, n_own: int, other: bytes, n: int) -> int:
+        return shared_count(unpacked(own), unpacked(other))
+
+    measured = _beside_pivot(rows.where(F.col("key").isNotNull()).select("key", F.col("text").alias("value")), regions, by_text, by_set)
+    # kept with their sets until it is known which regions have documents beyond the threshold
     measured = materialize(measured, "jaccard-measured")
     own_size = measured.where("key = pivot").select("pivot", F.col("n").alias("pivot_n")).distinct()
     measured = measured.where("key <> pivot").join(own_size, "pivot")
@@ -256,14 +276,10 @@ def jaccard_components(
     # triangle inequality: linked members too near to the pivot are out of reach for all beyond
     reach = 1 - percent / 100 + 1e-9
     left = measured.join(beyond, "pivot").where(~F.col("linked") | (F.col("distance") >= F.col("nearest") - reach))
-    tiles = left.join(left.groupBy("pivot").count().select("pivot", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts")), "pivot")
-    tiles = tiles.withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    tiles = tiles.select("pivot", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "key", "n", "linked", "distance", "ids")
-    group = ["pivot", "low", "high"]
-    ready = tiles.repartition(*group).sortWithinPartitions(*group, "key")
+    ready = _tiles(left, ["key", "n", "linked", "distance", "ids"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in grouped(batches, group):
+        for rows in grouped(batches, TILE):
             a, b = region_links(rows, percent, reach)
             if len(a):
                 yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
@@ -279,6 +295,67 @@ def jaccard_components(
     )
 
 
+TILE = ["pivot", "low", "high"]
+
+
+def _carried(rows: DataFrame, regions: DataFrame) -> DataFrame:
+    """Rows (by key) with each of their lines in ``regions``.  The lines go to the rows where
+    they are few by count; both sides are shuffled otherwise."""
+    return rows.join(F.broadcast(regions) if regions.count() <= BROADCAST_ROWS else regions, "key")
+
+
+def _beside_pivot(rows: DataFrame, regions: DataFrame, encode: Callable, measure: Callable) -> DataFrame:
+    """pivot, block, key, n, ids and shared, for every member of ``regions`` and every pivot.
+
+    ``rows``: key, value and perhaps n; ``encode`` gives the values of a batch as bytes and
+    ``measure`` compares the pivot's with a member's.  A region has as many blocks as it needs,
+    and its pivot is in each of them, so a huge region spreads over many tasks."""
+    every = regions.select("key", "pivot").unionByName(regions.select(F.col("pivot").alias("key"), "pivot").distinct())
+    sizes = regions.groupBy("pivot").count().select("pivot", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    wanted = every.join(sizes, "pivot").groupBy("key").agg(F.collect_list(F.struct("pivot", "blocks")).alias("regions"))
+    wanted = materialize(wanted, "jaccard-wanted")
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lists = batch.column("key").to_pylist(), batch.column("regions").to_pylist()
+            data = encode(batch)
+            sizes = batch.column("n").to_pylist() if "n" in batch.schema.names else [len(d) // ID_BYTES for d in data]
+            out = []
+            for k, n, d, own in zip(keys, sizes, data, lists):
+                for r in own:
+                    blocks = range(r["blocks"]) if r["pivot"] == k else [hash(k) % r["blocks"]]
+                    out += [(r["pivot"], b, k, n, d) for b in blocks]
+            for part in range(0, len(out), 2000):
+                columns = list(zip(*out[part : part + 2000]))
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["pivot", "block", "key", "n", "ids"])
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pivot comes first in its group; every member is measured against it."""
+        at, own, n_own = None, b"", 0
+        for batch in batches:
+            pivot, block, n = (batch.column(c).to_numpy() for c in ("pivot", "block", "n"))
+            data = batch.column("ids").to_pylist()
+            shared = np.zeros(len(pivot), np.int64)
+            for i in range(len(pivot)):
+                if at != (pivot[i], block[i]):
+                    at, own, n_own = (pivot[i], block[i]), data[i], int(n[i])
+                shared[i] = measure(own, n_own, data[i], int(n[i]))
+            yield batch.append_column("shared", pa.array(shared))
+
+    schema = "pivot long, block int, key long, n long, ids binary"
+    spread = _carried(rows, wanted).mapInArrow(placed, schema).repartition("pivot", "block")
+    return spread.sortWithinPartitions("pivot", "block", (F.col("key") != F.col("pivot")), "key").mapInArrow(beside, f"{schema}, shared long")
+
+
+def _tiles(members: DataFrame, columns: list[str]) -> DataFrame:
+    """Members of regions dealt out by pairs of blocks (low, high), grouped and sorted."""
+    parts = members.groupBy("pivot").count().select("pivot", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
+    tiles = members.join(parts, "pivot").withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.col("parts")).cast("int"))
+    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tiles = tiles.select("pivot", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", *columns)
+    return tiles.repartition(*TILE).sortWithinPartitions(*TILE, "key")
+
+
 def grouped(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
     """Whole groups of sorted rows, one after the other."""
     held: list[pa.Table] = []
