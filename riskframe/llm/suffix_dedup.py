@@ -33,7 +33,8 @@ from riskframe.llm.jaccard_join import grouped, mixed
 from riskframe.llm.shared import materialize, table, task_count
 
 GRAM = 32
-SLAB = 1 << 22
+SLAB = 1 << 20  # bytes worked on at once
+BROADCAST_ROWS = 1_000_000  # spans and documents with any that may be sent to every executor
 _letters = np.random.default_rng(3).integers(1 << 62, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0xD6E8FEB86659FD93)
 UNBASE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
@@ -171,15 +172,20 @@ def multikey_runs(texts: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tupl
     return order, np.r_[True, run[1:] != run[:-1]] if len(run) else np.zeros(0, bool)
 
 
-ROW = pa.schema([("task", pa.int32()), ("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
-ROW_SQL = "task int, kind byte, a long, b long, doc long, place long, begin long, end long"
+# a and b: hashes; place: first byte; shape: see WIDE
+ROW = pa.schema([("task", pa.int32()), ("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("shape", pa.int64())])
+ROW_SQL = "task int, kind byte, a long, b long, doc long, place long, shape long"
+WIDE = 1 << 40  # shape: distance of the anchor times WIDE, plus size
 
 
-def _rows(kind: int, task, a, b, doc, place, begin, end) -> pa.RecordBatch:
-    n = len(doc)
-    fill = lambda v: np.full(n, v) if np.isscalar(v) else v
-    whole = [fill(task).astype(np.int32), np.full(n, kind, np.int8), *(fill(v).astype(np.uint64).view(np.int64) if getattr(v, "dtype", None) == np.uint64 else fill(v).astype(np.int64) for v in (a, b, doc, place, begin, end))]
-    return pa.record_batch([pa.array(v) for v in whole], schema=ROW)
+def _rows(kind: int, task, a, b, doc, begin, end, anchor=None) -> pa.RecordBatch:
+    """Rows in the order of documents, which the shuffle's compression likes."""
+    order = np.lexsort((begin, doc))
+    fill = lambda v: (np.full(len(doc), v) if np.isscalar(v) else v)[order]
+    signed = lambda v: v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64)
+    shape = end - begin if anchor is None else end - begin + (anchor - begin) * WIDE
+    columns = [fill(task).astype(np.int32), np.full(len(doc), kind, np.int8), *(signed(fill(v)) for v in (a, b, doc, begin, shape))]
+    return pa.record_batch([pa.array(v) for v in columns], schema=ROW)
 
 
 def splitters(rows: DataFrame, length: int, tasks: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,11 +236,11 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 order, new = first_of_runs([found.gram, span], doc, found.at - base)
                 again, once = order[~new], order[new]
                 owner, begin, end = merged_by(doc[again], (found.first - base)[again], (found.last - base)[again] + length)
-                yield _rows(COVER, (owner % tasks), 0, 0, owner, 0, begin, end)
+                yield _rows(COVER, owner % tasks, 0, 0, owner, begin, end)
                 hot = np.isin(lead[once], heavy.value)
                 own = once[~hot]
                 bucket = np.searchsorted(cuts.value, lead[own], side="right")
-                yield _rows(ANCHOR, bucket, found.gram[own], span[own], doc[own], (found.at - base)[own], (found.first - base)[own], (found.last - base)[own] + length)
+                yield _rows(ANCHOR, bucket, found.gram[own] >> np.uint64(16), span[own], doc[own], (found.first - base)[own], (found.last - base)[own] + length, (found.at - base)[own])
                 own = once[hot]
                 count = found.last[own] - found.first[own] + 1
                 at = np.repeat(found.first[own], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -244,46 +250,48 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                     order, new = first_of_runs([one, two], who, where)
                     again, first = order[~new], order[new]
                     owner, begin, end = merged_by(who[again], where[again], where[again] + length)
-                    yield _rows(COVER, (owner % tasks), 0, 0, owner, 0, begin, end)
-                    yield _rows(STRING, (one[first] % np.uint64(tasks)).astype(np.int64), one[first], two[first], who[first], where[first], where[first], where[first] + length)
+                    yield _rows(COVER, owner % tasks, 0, 0, owner, begin, end)
+                    yield _rows(STRING, (one[first] % np.uint64(tasks)).astype(np.int64), one[first], two[first], who[first], where[first], where[first] + length)
 
     def by_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(list(batches), ROW)
-        kind, a, b, doc, place, begin, end = (whole.column(c).to_numpy() for c in ("kind", "a", "b", "doc", "place", "begin", "end"))
+        kind, a, b, doc, begin, shape = (whole.column(c).to_numpy() for c in ROW.names[1:])
+        end, anchor = begin + shape % WIDE, begin + shape // WIDE
         covered = [np.flatnonzero(kind == COVER)]
         for own in (np.flatnonzero(kind == ANCHOR), np.flatnonzero(kind == STRING)):
-            order, new = first_of_runs([a[own], b[own]], doc[own], place[own])
+            order, new = first_of_runs([a[own], b[own]], doc[own], anchor[own])
             covered.append(own[order[~new]])
             if len(own) and kind[own[0]] == ANCHOR:
                 first = own[order[new]]
                 several = np.r_[False, a[first][1:] == a[first][:-1]]
                 several |= np.r_[several[1:], False]
                 asked = first[several]
-                yield _rows(ANCHOR, 0, a[asked], 0, doc[asked], place[asked], begin[asked], end[asked])
+                yield _rows(ANCHOR, 0, a[asked], 0, doc[asked], begin[asked], end[asked], anchor[asked])
         covered = np.concatenate(covered)
         owner, x, y = merged_by(doc[covered], begin[covered], end[covered])
-        yield _rows(COVER, 0, 0, 0, owner, 0, x, y)
+        yield _rows(COVER, 0, 0, 0, owner, x, y)
 
     dealt = rows.mapInArrow(anchors, ROW_SQL).repartitionById(tasks, F.col("task"))
     first = materialize(dealt.mapInArrow(by_hash, ROW_SQL), "suffix-hashes")
 
-    asked = first.where(F.col("kind") == ANCHOR).groupBy("doc").agg(F.collect_list(F.struct("a", "place", "begin", "end")).alias("asked"))
-    part = "gram long, lead long, doc long, place int, begin int, bytes binary"
+    asked = first.where(F.col("kind") == ANCHOR).groupBy("doc").agg(F.collect_list(F.struct("a", "place", "shape")).alias("asked"))
+    part = "gram long, lead long, doc long, begin int, bytes binary"
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lists = batch.column("text").to_pylist(), batch.column("asked")
             sizes = lists.value_lengths().to_numpy()
             values = lists.flatten()
-            gram, place, begin, end = (values.field(i).to_numpy() for i in range(4))
+            gram, begin, shape = (values.field(i).to_numpy() for i in range(3))
+            end, place = begin + shape % WIDE, begin + shape // WIDE
             row = np.repeat(np.arange(len(texts)), sizes)
             raw = [t.encode() for t in texts]
             data = [raw[r][x:y] for r, x, y in zip(row, begin, end)]
             lead = np.array([int.from_bytes(raw[r][p : p + 6], "big") for r, p in zip(row, place)], np.uint64) << np.uint64(16)
-            lead |= gram.view(np.uint64) >> np.uint64(48)
+            lead |= gram.view(np.uint64) >> np.uint64(32)  # grams have 48 bits here
             yield pa.record_batch(
-                [pa.array(gram), pa.array(lead.view(np.int64)), batch.column("doc").take(pa.array(row)), pa.array(place.astype(np.int32)), pa.array(begin.astype(np.int32)), pa.array(data, pa.binary())],
-                ["gram", "lead", "doc", "place", "begin", "bytes"],
+                [pa.array(gram), pa.array(lead.view(np.int64)), batch.column("doc").take(pa.array(row)), pa.array(begin.astype(np.int32)), pa.array(data, pa.binary())],
+                ["gram", "lead", "doc", "begin", "bytes"],
             )
 
     dealt = rows.join(asked, "doc").select("doc", "text", "asked").mapInArrow(suffixes, part)
@@ -307,7 +315,7 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
             yield _sorted_cover(pa.concat_tables(held), length)
 
     second = dealt.mapInArrow(by_bytes, "doc long, begin long, end long")
-    covers = first.where(F.col("kind") == COVER).select("doc", "begin", "end").unionByName(second)
+    covers = first.where(F.col("kind") == COVER).select("doc", F.col("place").alias("begin"), (F.col("place") + F.col("shape")).alias("end")).unionByName(second)
     lists = covers.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +363,9 @@ def _sorted_cover(rows: pa.Table, length: int) -> pa.RecordBatch:
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100, sample: int = 2_000) -> DataFrame:
     """Key, spans removed, n_bytes and the remaining bytes (kept) of every row; see repeated_bytes."""
-    found = repeated_bytes(docs, key, text, length, sample).select(F.col(key).alias("k"), "spans")
+    found = materialize(repeated_bytes(docs, key, text, length, sample).select(F.col(key).alias("k"), "spans"), "suffix-spans")
+    if (found.agg(F.sum(F.size("spans") + 1).alias("n")).first()["n"] or 0) <= BROADCAST_ROWS:
+        found = F.broadcast(found)  # by count; both sides are shuffled otherwise
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(found, F.col("key") == F.col("k"), "left").select("key", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
