@@ -152,6 +152,18 @@ class Links:
         self.up[self.top(a)] = self.top(b)
 
 
+def lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column as arrays, without Python numbers in between."""
+    values = column.flatten().to_numpy()
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    return np.split(values, ends[:-1]) if len(ends) else []
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
 def _encoded(values) -> list[bytes]:
     return [(v or "").encode() for v in values]
 
@@ -166,7 +178,7 @@ def common_shingles(docs: DataFrame, rows: int, most: int) -> np.ndarray:
     sample = near.limit(rows) if part >= 1 else near.orderBy(spread).limit(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 500):
             sets = shingle_sets(_encoded(batch.column("text").to_pylist()))
             ids = [int(s.sum(dtype=np.uint64).astype(np.int64)) for s in sets]
             yield pa.record_batch([pa.array(np.repeat(ids, [len(s) for s in sets]).astype(np.int64)), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], ["own", "shingle"])
@@ -177,7 +189,7 @@ def common_shingles(docs: DataFrame, rows: int, most: int) -> np.ndarray:
 
 
 def jaccard_components(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, sample_rows: int = 4_000, most_common: int = 200_000
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, sample_rows: int = 16_000, most_common: int = 500_000
 ) -> DataFrame:
     """Components of documents whose sets of four-word shingles have a Jaccard similarity of
     ``percent`` / 100 or more.
@@ -196,7 +208,7 @@ def jaccard_components(
     common = spark.sparkContext.broadcast(common_shingles(rows, sample_rows, most_common))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2000):
             sets = shingle_sets(_encoded(batch.column("text").to_pylist()))
             keys = batch.column("key").to_pylist()
             seen: dict[bytes, int] = {}
@@ -223,7 +235,7 @@ def jaccard_components(
 
     # prefixes alone rule out most members: first against the pivot, then against each other
     def by_prefix(batch: pa.RecordBatch) -> list[bytes]:
-        return [np.array(v, np.int64).tobytes() for v in batch.column("value").to_pylist()]
+        return [v.tobytes() for v in lists(batch.column("value"))]
 
     def by_pivot(own: bytes, n_own: int, other: bytes, n: int) -> int:
         return int(may_link(np.frombuffer(own, np.uint64), np.frombuffer(other, np.uint64), n_own, n, percent))
@@ -239,7 +251,7 @@ def jaccard_components(
         """Members away from the pivot that may link with another member, and those others."""
         for rows in grouped(batches, TILE):
             key, n, near, part = (rows.column(c).to_numpy() for c in ("key", "n", "near", "part"))
-            own = [np.array(v, np.int64).view(np.uint64) for v in rows.column("value").to_pylist()]
+            own = [v.view(np.uint64) for v in lists(rows.column("value").combine_chunks())]
             two = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
             alive = np.zeros(len(key), bool)
             for i in np.flatnonzero(near == 0):
@@ -316,17 +328,17 @@ def _beside_pivot(rows: DataFrame, regions: DataFrame, encode: Callable, measure
     wanted = materialize(wanted, "jaccard-wanted")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, lists = batch.column("key").to_pylist(), batch.column("regions").to_pylist()
+        for batch in slices(batches, 500):
+            keys, asked = batch.column("key").to_pylist(), batch.column("regions").to_pylist()
             data = encode(batch)
             sizes = batch.column("n").to_pylist() if "n" in batch.schema.names else [len(d) // ID_BYTES for d in data]
             out = []
-            for k, n, d, own in zip(keys, sizes, data, lists):
+            for k, n, d, own in zip(keys, sizes, data, asked):
                 for r in own:
                     blocks = range(r["blocks"]) if r["pivot"] == k else [hash(k) % r["blocks"]]
                     out += [(r["pivot"], b, k, n, d) for b in blocks]
-            for part in range(0, len(out), 2000):
-                columns = list(zip(*out[part : part + 2000]))
+            for part in range(0, len(out), 1000):
+                columns = list(zip(*out[part : part + 1000]))
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["pivot", "block", "key", "n", "ids"])
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
