@@ -24,11 +24,20 @@ def _miss(c: Column, unmatched: str, dtype: str) -> Column:
         return F.lit(None).cast(dtype)
     if unmatched == "error":
         return F.when(c.isNotNull(), _fail(c).cast(dtype))
-    raise ValueError(f"unmatched must be 'null' or 'error', got {unmatched!r}")
+    if unmatched == "keep":  # a value that is a code already, as in a second run over clean data
+        return c.cast("string").try_cast(dtype)
+    raise ValueError(f"unmatched must be 'null', 'error' or 'keep', got {unmatched!r}")
+
+
+def unmapped(c, labels: Sequence[str]) -> Column:
+    """Aggregate: rows whose value is neither null nor one of the labels."""
+    c = _col(c)
+    return F.count_if(c.isNotNull() & ~c.isin(list(labels)))
 
 
 def recode_binary(c, true: str = "Yes", false: str = "No", unmatched: str = "null") -> Column:
-    """``true`` label to 1, ``false`` label to 0, typed int."""
+    """``true`` label to 1, ``false`` label to 0, typed int.  ``unmatched``: what other labels
+    become, null, an error, or (keep) themselves where they are whole numbers."""
     c = _col(c)
     return F.when(c == true, F.lit(1)).when(c == false, F.lit(0)).otherwise(_miss(c, unmatched, "int"))
 

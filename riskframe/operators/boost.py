@@ -371,7 +371,7 @@ def sweep(
 
     ``kind``: newton (eta, min_child_weight, reg_lambda) or an AdaBoost variant (learning_rate,
     max_leaf_nodes).  Points are trained side by side: one binning, and one pass per tree
-    level for all of them together.
+    level for all of them together.  A parameter that is None gives a null.
     """
     newton = kind == "newton"
     defaults = (
@@ -385,21 +385,24 @@ def sweep(
     tested = binned(test_df, y, cuts)
     test_rows = BoostRows(keep_for_passes(tested, with_task(tested.select("y")).agg(occupied_partitions()).first()[0]), cuts)
     base = _newton_base(binned_rows, None) if newton else 0.0
-    results = []
-    for start in range(0, len(points), SWEEP_WIDTH):
-        part = points[start : start + SWEEP_WIDTH]
-        models = [Booster(kind, cuts, {**defaults, **p}, base=base) for p in part]
-        capped = any(m.params.get("max_leaf_nodes") for m in models)
-        depth = max_depth if max_depth is not None else (6 if newton else None if capped else 1)
-        fitted = train(binned_rows, models, rounds, depth)
-        scores = zip(part, _accuracies(fitted, models), _accuracies(test_rows, models))
-        results += [(*map(float, p.values()), a, b) for p, a, b in scores]
-        if fitted is not binned_rows:
-            fitted.release()
+    results: dict[int, tuple] = {}
+    capped = [bool({**defaults, **p}.get("max_leaf_nodes")) for p in points]
+    # points with and without a leaf cap have different depth limits, so they train apart
+    for cap in (False, True):
+        alike = [i for i, c in enumerate(capped) if c == cap]
+        depth = max_depth if max_depth is not None else (6 if newton else None if cap else 1)
+        for start in range(0, len(alike), SWEEP_WIDTH):
+            part = alike[start : start + SWEEP_WIDTH]
+            models = [Booster(kind, cuts, {**defaults, **points[i]}, base=base) for i in part]
+            fitted = train(binned_rows, models, rounds, depth)
+            for i, a, b in zip(part, _accuracies(fitted, models), _accuracies(test_rows, models)):
+                results[i] = (*(None if v is None else float(v) for v in points[i].values()), a, b)
+            if fitted is not binned_rows:
+                fitted.release()
     binned_rows.release()
     test_rows.release()
     names = ", ".join(f"{k} double" for k in points[0])
-    return train_df.sparkSession.createDataFrame(results, f"{names}, train_acc double, test_acc double")
+    return train_df.sparkSession.createDataFrame([results[i] for i in range(len(points))], f"{names}, train_acc double, test_acc double")
 
 
 def best_of(sweep_df: DataFrame, metric: str, params: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -19,10 +19,22 @@ def threshold(prob: str | Column, t: float) -> Column:
     return (p > F.lit(float(t))).cast("int")
 
 
-def confusion(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
+def _labelled(df: DataFrame, y: str, pred: str, nulls: str) -> DataFrame:
+    """Rows without a label or a prediction stop the run, or (label) count as a label "null"."""
+    if nulls == "error":
+        fail = lambda c: F.coalesce(F.col(c), F.raise_error(F.lit(f"null in {c}")).cast(df.schema[c].dataType))
+        return df.withColumns({c: fail(c) for c in (y, pred)})
+    if nulls == "label":
+        return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (y, pred)})
+    raise ValueError(f"nulls must be 'error' or 'label', got {nulls!r}")
+
+
+def confusion(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = (), nulls: str = "error") -> DataFrame:
     """``(by..., actual, predicted, n)`` with zero cells: labels are all that occur on either
-    side of the group."""
+    side of the group.  ``nulls``: rows without a label or prediction are an error, or count
+    under the label "null" (labels are then strings)."""
     by = list(by)
+    df = _labelled(df, y, pred, nulls)
     counts = df.groupBy(*by, F.col(y).alias("actual"), F.col(pred).alias("predicted")).agg(F.count("*").alias("n"))
     # per group: label set, then its square by two explodes; a few labels per group
     labels = counts.groupBy(*by).agg(
@@ -32,11 +44,14 @@ def confusion(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str]
     return grid.join(counts, [*by, "actual", "predicted"], "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
 
 
-def classification_report(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
+def classification_report(
+    df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = (), nulls: str = "error"
+) -> DataFrame:
     """Long ``(by..., label, precision, recall, f1, support)``: one row per class, then
-    ``accuracy``, ``macro avg`` and ``weighted avg``; an undefined ratio is 0."""
+    ``accuracy``, ``macro avg`` and ``weighted avg``; an undefined ratio is 0.  ``nulls`` as in
+    ``confusion``."""
     by = list(by)
-    cells = confusion(df, y, pred, by)
+    cells = confusion(df, y, pred, by, nulls)
     stacked = cells.select(*by, F.inline(F.array(
         F.struct(F.col("actual").cast("string").alias("label"), F.col("n").alias("support"), F.lit(0).cast("long").alias("claimed"),
                  F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).alias("hit")),
@@ -73,7 +88,8 @@ def _report_row(label: str, precision: Column, recall: Column, f1: Column) -> Co
     )
 
 
-def accuracy(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = ()) -> DataFrame:
+def accuracy(df: DataFrame, y: str = "y", pred: str = "pred", by: Sequence[str] = (), nulls: str = "error") -> DataFrame:
+    df = _labelled(df, y, pred, nulls)
     return df.groupBy(*by).agg(F.avg((F.col(y) == F.col(pred)).cast("double")).alias("accuracy"))
 
 

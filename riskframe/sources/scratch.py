@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``.  Only a session without one (tests on one
-    machine) gets a temporary folder, which is then set for the rest of the session."""
+    """The cluster's ``spark.checkpoint.dir``.  Only a session inside one process, as in tests,
+    gets a temporary folder where it is unset, for the rest of the session; on a cluster every
+    machine would write to a folder of its own, so there its absence is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="riskframe-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

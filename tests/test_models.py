@@ -203,6 +203,9 @@ def test_boosting_learns_and_sweeps(cohort):
     grid = B.product(max_leaf_nodes=[3, 6], learning_rate=[0.1, 1.0])
     out = B.sweep("samme.r", grid, cohort, cohort, "y", ["a", "b"], rounds=4).collect()
     assert len(out) == 4 and all(r["train_acc"] == r["test_acc"] > max(base, 1 - base) for r in out)
+    mixed = B.sweep("samme.r", [{"max_leaf_nodes": None}, {"max_leaf_nodes": 6}], cohort, cohort, "y", ["a", "b"], rounds=4).collect()
+    stumps = B.sweep("samme.r", [{"max_leaf_nodes": None}], cohort, cohort, "y", ["a", "b"], rounds=4).collect()
+    assert mixed[0] == stumps[0] and [r["max_leaf_nodes"] for r in mixed] == [None, 6.0]
     single = B.adaboost(cohort, "y", ["a", "b"], rounds=4, learning_rate=1.0, max_leaf_nodes=6)
     right = single.predict(cohort).agg(F.avg((F.col("pred") == F.col("y")).cast("double"))).first()[0]
     assert right == pytest.approx(out[3]["train_acc"])

@@ -158,3 +158,13 @@ def test_recodes_and_scores_run_on_a_stream(spark, cohort, tmp_path):
     assert query.awaitTermination(60)
     got, want = spark.read.parquet(str(tmp_path / "out")), steps(cohort)
     assert got.count() == 800 and got.exceptAll(want.select(got.columns)).count() == 0
+
+
+def test_rows_without_a_label_are_no_silent_loss(spark):
+    df = spark.createDataFrame([(1, 1), (0, 1), (None, 1), (1, None)], "y int, pred int")
+    with pytest.raises(Exception, match="null in"):
+        confusion(df).collect()
+    told = {(r.actual, r.predicted): r.n for r in confusion(df, nulls="label").collect()}
+    assert sum(told.values()) == 4 and told["null", "1"] == 1 and told["1", "null"] == 1 and len(told) == 9
+    support = {r.label: r.support for r in classification_report(df, nulls="label").collect()}
+    assert support["accuracy"] == 4

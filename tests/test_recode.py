@@ -82,3 +82,11 @@ def test_column_helpers(spark):
     with pytest.raises(ValueError):
         C.rename_matching(df, [(".*", "same")])
     assert [r["name"] for r in C.describe_schema(df).orderBy("position").collect()] == df.columns
+
+
+def test_unmatched_codes_can_be_kept(spark):
+    df = spark.createDataFrame([("Yes",), ("1",), ("0",), ("maybe",), (None,)], "v string")
+    got = df.select(R.recode_binary("v", unmatched="keep").alias("b"), R.recode_ordinal("v", {"maybe": 7}, unmatched="keep").alias("o")).collect()
+    assert [r.b for r in got] == [1, 1, 0, None, None]
+    assert [r.o for r in got] == [None, 1, 0, 7, None]
+    assert df.agg(R.unmapped("v", ["Yes", "No"]).alias("n")).first()["n"] == 3

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from riskframe.sources.scratch import materialize, scratch_root
@@ -34,3 +35,18 @@ def test_materialize_cuts_the_lineage(spark):
     assert df.agg(F.sum("x")).first()[0] == 90
     assert "Range" not in df._jdf.queryExecution().toString()
     assert scratch_root(spark) == scratch_root(spark)
+
+
+def test_no_private_folder_on_a_cluster():
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
