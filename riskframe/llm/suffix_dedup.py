@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.jaccard_join import grouped, mixed
+from riskframe.llm.jaccard_join import grouped, mixed, slices
 from riskframe.llm.shared import materialize, table, task_count
 
 GRAM = 32
@@ -278,7 +278,7 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     part = "gram long, lead long, doc long, begin int, bytes binary"
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 500):
             texts, lists = batch.column("text").to_pylist(), batch.column("asked")
             sizes = lists.value_lengths().to_numpy()
             values = lists.flatten()
@@ -369,7 +369,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(found, F.col("key") == F.col("k"), "left").select("key", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 500):
             kept, sizes = [], []
             for t, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 raw = t.encode()
