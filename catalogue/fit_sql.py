@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from catalogue.inputs import key_sql
+
 
 def solve(src: str, p: int, rhs: Sequence[str]) -> str:
     """Query that adds ``x_<r><i>``, the solution of the symmetric system in columns h<i><j>
@@ -61,7 +63,7 @@ def lloyd(name: str, points: str, ks: Sequence[int], seed: int = 25, steps: int
     text = "array_to_string(list_transform(v, lambda z: round(z * 1e6)::BIGINT), ',')"
     k_values = ", ".join(f"({k})" for k in ks)
     ctes = [
-        f"{name}_r AS (SELECT v, row_number() OVER (ORDER BY md5({text} || ':{seed}')) AS c FROM (SELECT DISTINCT v FROM {points}))",
+        f"{name}_r AS (SELECT v, row_number() OVER (ORDER BY md5({key_sql([text])} || ':{seed}')) AS c FROM (SELECT DISTINCT v FROM {points}))",
         f"{name}_c0 AS (SELECT k, c, v AS ctr FROM {name}_r, (VALUES {k_values}) t(k) WHERE c <= k)",
     ]
     gap = "list_sum(list_transform(list_zip(v, ctr), lambda z: (z[1] - z[2]) ** 2))"

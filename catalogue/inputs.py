@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +39,18 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(F.col(f"`{c}`"), digits).alias(c) if c in doubles else F.col(f"`{c}`") for c in df.columns])
 
 
-def unit_sql(key: str, seed: int | None = None) -> str:
-    """SQL of the hash-uniform of a key expression."""
-    text = key if seed is None else f"concat({key}, ':{seed}')"
+def key_sql(cols: Sequence[str]) -> str:
+    """SQL of the text of a key."""
+    return "concat_ws('|', " + ", ".join(f"coalesce(len({c}::VARCHAR) || ':' || {c}::VARCHAR, '~')" for c in cols) + ")"
+
+
+def unit_sql(cols: Sequence[str], seed: int | None = None) -> str:
+    """SQL of the hash-uniform of a key."""
+    text = key_sql(cols) if seed is None else f"concat({key_sql(cols)}, ':{seed}')"
     return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT / 4294967296.0)"
 
 
-LINE_STUDY = (
-    "study AS (SELECT *, CAST(l_quantity + 20 * "
-    + unit_sql("concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)")
-    + " > 35 AS INTEGER) AS y FROM lineitem)"
-)
+LINE_STUDY = "study AS (SELECT *, CAST(l_quantity + 20 * " + unit_sql(LINE_KEY) + " > 35 AS INTEGER) AS y FROM lineitem)"
 
 WIDE_STUDY = (
     "wide AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue.cohort import cohort_report, prepared_orders
-from catalogue.inputs import rounded, table, unit_sql
+from catalogue.inputs import LINE_KEY, key_sql, rounded, table, unit_sql
 from riskframe.operators import split as P
 
 COPY_COLS = ["l_returnflag", "l_linestatus", "l_linenumber"]
@@ -76,16 +76,16 @@ def study_split(spark, sf):
     return rounded(cohort_report(prepared_orders(spark, sf)))
 
 
-_ORDER_TEST = unit_sql("o_orderkey", 25) + " < 0.3"
+_ORDER_TEST = unit_sql(["o_orderkey"], 25) + " < 0.3"
 _COPIES = (
-    f"SELECT {', '.join(COPY_COLS)}, md5(concat_ws('|', {', '.join(COPY_COLS)})) || '-' || "
+    f"SELECT {', '.join(COPY_COLS)}, md5({key_sql(COPY_COLS)}) || '-' || "
     f"row_number() OVER (PARTITION BY {', '.join(COPY_COLS)}) AS row_key FROM lineitem"
 )
 
 QUERIES = {
     "row_key_copies": (row_key_copies, _COPIES),
     "row_key_natural": (
-        row_key_natural, "SELECT o_orderkey, o_custkey, md5(o_orderkey::VARCHAR) AS row_key FROM orders"
+        row_key_natural, f"SELECT o_orderkey, o_custkey, md5({key_sql(['o_orderkey'])}) AS row_key FROM orders"
     ),
     "latest_per_key": (
         latest_per_key,
@@ -98,21 +98,21 @@ QUERIES = {
     "split_train_by_anti_join": (
         split_train_by_anti_join,
         "SELECT o_orderkey, o_orderstatus, o_custkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders t "
-        f"WHERE t.o_orderkey = o.o_orderkey AND {unit_sql('t.o_orderkey', 25)} < 0.3)",
+        f"WHERE t.o_orderkey = o.o_orderkey AND {unit_sql(['t.o_orderkey'], 25)} < 0.3)",
     ),
     "split_exact_test": (
         split_exact_test,
-        "SELECT event_id, event_type FROM events QUALIFY row_number() OVER (ORDER BY md5(concat(event_id, ':123'))) "
+        f"SELECT event_id, event_type FROM events QUALIFY row_number() OVER (ORDER BY md5(concat({key_sql(['event_id'])}, ':123'))) "
         "<= ceil(0.3 * (SELECT count(*) FROM events))",
     ),
     "split_exact_without_key": (
         split_exact_without_key,
-        f"WITH k AS ({_COPIES}), r AS (SELECT *, row_number() OVER (ORDER BY md5(row_key || ':123')) AS rn FROM k) "
+        f"WITH k AS ({_COPIES}), r AS (SELECT *, row_number() OVER (ORDER BY md5({key_sql(['row_key'])} || ':123')) AS rn FROM k) "
         "SELECT CASE WHEN rn <= ceil(0.3 * (SELECT count(*) FROM lineitem)) THEN 'test' ELSE 'train' END AS side, "
         f"{', '.join(COPY_COLS)}, count(*) AS n FROM r GROUP BY ALL",
     ),
     "sample_fixed": (
-        sample_fixed, "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(concat(o_orderkey, ':25')) LIMIT 100"
+        sample_fixed, f"SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(concat({key_sql(['o_orderkey'])}, ':25')) LIMIT 100"
     ),
     "union_duplicates": (
         union_duplicates,
@@ -120,7 +120,7 @@ QUERIES = {
     ),
     "study_split": (
         study_split,
-        "WITH c AS (SELECT *, CASE WHEN " + unit_sql("concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)", 25)
+        "WITH c AS (SELECT *, CASE WHEN " + unit_sql(LINE_KEY, 25)
         + " < 0.3 THEN 'test' ELSE 'train' END AS split, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END AS filled, "
         "r_name AS region, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority FROM lineitem "
         "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "

@@ -142,7 +142,7 @@ def shap_with_values(spark, sf):
 _CELLS = f"cells AS MATERIALIZED (SELECT {', '.join(X)}, y, count(*)::DOUBLE AS n FROM study GROUP BY ALL)"
 _SPLIT_CELLS = (
     f"cells AS MATERIALIZED (SELECT {', '.join(X)}, y, count(*) FILTER (NOT test)::DOUBLE AS n, count(*) FILTER (test)::DOUBLE AS n_test "
-    "FROM (SELECT *, " + unit_sql("concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)", 25) + " < 0.3 AS test FROM study) GROUP BY ALL)"
+    "FROM (SELECT *, " + unit_sql(LINE_KEY, 25) + " < 0.3 AS test FROM study) GROUP BY ALL)"
 )
 
 

@@ -8,12 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NULL_MARK = "\\N"
+NULL_MARK = "~"
 
 
 def key_text(cols: Sequence[str | Column]) -> Column:
-    parts = [F.col(c) if isinstance(c, str) else c for c in cols]
-    return F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit(NULL_MARK)) for p in parts])
+    """One text per key: every part with its length before it, and a mark without a length for
+    null, so no two keys have the same text."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.length(p), F.lit(":"), p), F.lit(NULL_MARK)) for p in parts])
 
 
 def hash_hex(cols: Sequence[str | Column], seed: int | None = None) -> Column:

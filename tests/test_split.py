@@ -67,3 +67,11 @@ def test_sample_and_sets(people):
     rest = P.without(people, first, ["id"])
     assert rest.count() == 4900 and P.union_all(rest, first).count() == 5000
     assert {r["label"]: r["fraction"] for r in P.strata_fractions(people, "label", 0.3).collect()} == {"rare": 0.3, "common": 0.3}
+
+
+def test_keys_of_different_rows_differ(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("\\N", "x"), (None, "x"), ("~", "x"), ("", "x"), ("1:a", "b"), ("a", "1:b"), (None, None), ("", "")]
+    keyed = P.with_row_key(spark.createDataFrame(rows, "a string, b string"))
+    assert keyed.select("row_key").distinct().count() == len(rows)
+    natural = P.with_row_key(spark.createDataFrame(rows, "a string, b string"), ["a", "b"])
+    assert natural.select("row_key").distinct().count() == len(rows)
