@@ -85,6 +85,7 @@ def mix(
     weights: Sequence[int] = (5, 2, 1),
     cap: int = 3,
     seed: str = "mix",
+    position: str | None = None,
 ) -> DataFrame:
     """How often each document is taken so that sources reach their targets.
 
@@ -94,15 +95,20 @@ def mix(
     null source is a source of its own.  Documents of size 0 take nothing.  An empty table
     gives an empty result.  Each source differs from its target by half of its boundary
     bucket at most, which with 36 bits of position is one document or a set of equal keys.
+
+    ``position``: column that gives the hash position in place of the key, for keys that number
+    the rows anew in every run.  The key then places only the rows that all levels but the last
+    leave together, so rows that are equal in ``position`` are told apart.
     """
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(position or key).cast("string")))
+    own = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")))
     path = [f"p{i}" for i in range(1, LEVELS + 1)]
     sized = materialize(
         docs.select(
             F.col(key).alias("key"),
             F.col(source).alias("source"),
             word_count(F.col(text)).alias("size"),
-            *[F.substring(digest, 1 + i * DIGITS, DIGITS).alias(p) for i, p in enumerate(path)],
+            *[F.substring(digest if i < LEVELS - 1 else own, 1 + i * DIGITS, DIGITS).alias(p) for i, p in enumerate(path)],
         ),
         "mix-sizes",
     ).withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
