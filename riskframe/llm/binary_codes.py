@@ -5,9 +5,10 @@ product of the vector with its own code is stored as a correction factor.  The c
 product with another vector, divided by that factor, estimates their cosine without bias, and
 the factor also bounds the error.  Several rotations are averaged.
 
-Codes serve twice.  Vectors that agree on a random choice of code bits share a bucket; enough
-such choices are made that a pair at the threshold meets in one of them with high probability.
-Inside a bucket estimate and bound discard a pair, or the exact cosine decides.  A pair that
+Candidates come from other bits.  Every table has random planes of its own, and vectors on the
+same side of all of them share a bucket; enough tables are made that a pair at the threshold meets
+in one of them with high probability.  Tables are independent, so that probability is a product.
+Inside a bucket estimate and bound of the code discard a pair, or the exact cosine decides.  A pair that
 meets several times counts in the first table where it does, so links are counted without ever
 being written out, and a bucket hands on one link per vector, to the smallest one it is tied to.
 """
@@ -32,7 +33,7 @@ CODE_BITS = 256
 
 @dataclass
 class Coder:
-    """Rotations, the bits of every table, and the threshold, for vectors of one length."""
+    """Rotations, the planes of every table, and the threshold, for vectors of one length."""
 
     dim: int
     tables: int
@@ -46,16 +47,24 @@ class Coder:
         count = max(1, -(-CODE_BITS // self.dim))
         self.rotations = np.concatenate([np.linalg.qr(rng.standard_normal((self.dim, self.dim)))[0] for _ in range(count)], axis=1)
         self.count, self.width = count, count * self.dim
-        picks = [rng.choice(self.width, min(self.bits, self.width), replace=False) for _ in range(self.tables)]
-        self.picks = np.stack(picks)
+        # whole numbers, so that a vector is on the same side in every batch and on every machine
+        self.planes = np.rint(rng.standard_normal((self.dim, self.tables * self.bits)) * (1 << 16)).astype(np.float32)
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
         return unit @ self.rotations >= 0
 
-    def buckets(self, codes: np.ndarray) -> np.ndarray:
-        """Key of every vector in every table."""
-        powers = 1 << np.arange(self.picks.shape[1], dtype=np.int64)
-        return np.stack([codes[:, p] @ powers for p in self.picks], axis=1)
+    def buckets(self, raw: np.ndarray) -> np.ndarray:
+        """Key of every vector in every table.
+
+        Components are rounded to 22 bits below the largest; sums of their products with the
+        planes stay under 53 bits (up to some 30,000 dimensions), so their order is of no account."""
+        powers, out = 1 << np.arange(self.bits, dtype=np.int64), []
+        planes = self.planes.astype(np.float64)
+        for part in (raw[i : i + 1024].astype(np.float64) for i in range(0, len(raw), 1024)):
+            whole = np.rint(np.ldexp(part, 22 - np.frexp(np.abs(part).max(1))[1][:, None]))
+            sides = (whole @ planes >= 0).reshape(len(part), self.tables, self.bits)
+            out.append(sides @ powers)
+        return np.concatenate(out) if out else np.zeros((0, self.tables), np.int64)
 
     def factors(self, unit: np.ndarray) -> np.ndarray:
         """Inner product with the own code, for every rotation."""
@@ -156,10 +165,11 @@ def _compared(coder: Coder, batch: pa.RecordBatch, kind: np.dtype) -> pa.RecordB
     across = (low[a] == high[a]) | (part[a] != part[b])
     a, b = a[across], b[across]
     # a pair counts in the first table in which it meets
-    keys = coder.buckets(rows["codes"])
+    some = np.unique(np.r_[a, b])
+    keys, at = coder.buckets(raw[some]), np.searchsorted(some, np.stack([a, b]))
     place = column("place")
     earlier = np.arange(coder.tables)[None, :] < place[a][:, None]
-    new = np.concatenate([~((keys[a[i : i + 65536]] == keys[b[i : i + 65536]]) & earlier[i : i + 65536]).any(1) for i in range(0, len(a), 65536)] or [np.zeros(0, bool)])
+    new = np.concatenate([~((keys[at[0, i : i + 65536]] == keys[at[1, i : i + 65536]]) & earlier[i : i + 65536]).any(1) for i in range(0, len(a), 65536)] or [np.zeros(0, bool)])
     a, b = a[new], b[new]
     node, weight = column("node"), column("copies")
     links = np.bincount(a, weight[b], len(raw)) + np.bincount(b, weight[a], len(raw))
@@ -235,7 +245,7 @@ def _links_of(distinct: DataFrame, dim: int, count: int, kind: np.dtype, least:
                     pa.array([r.tobytes() for r in coder.factors(unit).astype(np.float32)], pa.binary()),
                 ]
                 yield pa.record_batch(
-                    [pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(coder.buckets(codes).ravel()), *(c.take(at) for c in stored)],
+                    [pa.array(np.tile(np.arange(tables, dtype=np.int32), n)), pa.array(coder.buckets(raw).ravel()), *(c.take(at) for c in stored)],
                     ["place", "bucket", "node", "copies", "vector", "code", "factors"],
                 )
 

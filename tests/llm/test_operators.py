@@ -169,6 +169,28 @@ def test_code_estimates_are_unbiased_and_bounded():
     assert (np.abs(error) <= coder.bound(factor)).all()
 
 
+@pytest.mark.parametrize("vectors", [2_000, 10**5, 10**6, 10**8])
+def test_tables_find_pairs_at_the_threshold(vectors):
+    rng = np.random.default_rng(3)
+    bits, tables = binary_codes.table_plan(vectors, 0.95, 0.001)
+    coder = binary_codes.Coder(64, tables, bits, 0.95, 5.0)
+    x, y = rng.standard_normal((2, 20_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(1)[:, None] * x
+    y = 0.9501 * x + np.sqrt(1 - 0.9501**2) * y / np.linalg.norm(y, axis=1)[:, None]
+    missed = ~(coder.buckets(x.astype(np.float32)) == coder.buckets(y.astype(np.float32))).any(1)
+    print(f"{vectors} vectors: {bits} bits, {tables} tables, {100 * missed.mean():.3f} % of pairs at 0.9501 missed")
+    assert missed.mean() <= 0.002
+
+
+def test_buckets_do_not_hang_on_the_batch():
+    rng = np.random.default_rng(4)
+    coder = binary_codes.Coder(64, 30, 20, 0.95, 5.0)
+    x = rng.standard_normal((3000, 64)).astype(np.float32)
+    whole = coder.buckets(x)
+    assert all((coder.buckets(x[i : i + n].astype(np.float64)) == whole[i : i + n]).all() for i, n in ((0, 1), (5, 7), (1000, 1500)))
+
+
 # ---- 3 ----
 
 
