@@ -17,8 +17,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from riskframe.llm.shared import kept, materialize, table
+from riskframe.sources.scratch import scratch_path
+
 
 class Feistel:
     """A keyed permutation of range(n): four Feistel rounds over the next even number of bits,
@@ -143,7 +146,8 @@ def training_order(
     cut = rows.mapInArrow(run, f"key {kind}, part long, slot long, own binary")
     # slots are a permutation: equal ranges hold equally many, no sampling is needed
     tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // 8)))
-    ranges = cut.repartitionById(tasks, F.floor(F.col("slot") / per_shard * tasks / shards).cast("int"))
+    # whole shards, so that each is written by one task
+    ranges = cut.repartitionById(tasks, F.expr(f"cast((slot div {per_shard}) * {tasks} div {shards} as int)"))
     fill = F.unhex(F.lit(int(end_id).to_bytes(2, "little").hex() * length))
     own = F.octet_length("own")
     return ranges.sortWithinPartitions("slot").select(
@@ -158,30 +162,70 @@ def training_order(
 
 
 def write_shards(sequences: DataFrame, path: str) -> None:
-    """One file per range of shards; a row holds a whole shard as fixed-stride bytes.
+    """One file per range of shards; a row holds a whole shard as fixed-stride bytes, and beside
+    them where its sequences come from: keys (of the first column), parts and n_tokens.
 
     The records of a shard come from one task, in order, so they are put together without a
     shuffle; the file of a lost task is written again with the same bytes.
     """
+    key = sequences.columns[0]
+    rows = sequences.select("shard", "slot", "ids", F.col(key).alias("key"), "part", "n_tokens")
+    kind = to_arrow_type(rows.schema["key"].dataType)
+    names = ["shard", "first_slot", "n_sequences", "data", "keys", "parts", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
 
         def shard() -> pa.RecordBatch:
-            slots, ids = zip(*held)
-            return pa.record_batch([pa.array([at]), pa.array([slots[0]]), pa.array([len(ids)]), pa.array([b"".join(ids)], pa.binary())], ["shard", "first_slot", "n_sequences", "data"])
+            slots, ids, keys, parts, n_tokens = zip(*held)
+            whole = pa.array([b"".join(ids)], pa.binary())
+            origin = [pa.array([list(keys)], pa.list_(kind)), *(pa.array([list(c)], pa.list_(pa.int64())) for c in (parts, n_tokens))]
+            return pa.record_batch([pa.array([at]), pa.array([slots[0]]), pa.array([len(ids)]), whole, *origin], names)
 
         for batch in batches:
-            for s, slot, ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "slot", "ids"))):
+            for s, *row in zip(*(batch.column(c).to_pylist() for c in ("shard", "slot", "ids", "key", "part", "n_tokens"))):
                 if s != at and held:
                     yield shard()
                     held = []
                 at = s
-                held.append((slot, ids))
+                held.append(row)
         if held:
             yield shard()
 
-    sequences.select("shard", "slot", "ids").mapInArrow(run, "shard long, first_slot long, n_sequences long, data binary").write.parquet(path)
+    rows.mapInArrow(run, SHARDS.format(kind=rows.schema["key"].dataType.simpleString())).write.option("compression", "zstd").parquet(path)
+
+
+SHARDS = "shard long, first_slot long, n_sequences long, data binary, keys array<{kind}>, parts array<long>, n_tokens array<long>"
+
+
+def from_shards(spark: SparkSession, path: str, key: str, kind: str, length: int, per_shard: int) -> DataFrame:
+    """The sequences of written shards, as ``training_order`` gives them.
+
+    The shards must be 0, 1, 2 and so on, each once, begin at their slot and all but the last be
+    full; a shard whose bytes are not a stride per sequence stops the read.  ``slot`` is the order.
+    """
+    shards = spark.read.schema(SHARDS.format(kind=kind)).parquet(path)
+    n, last = F.count("*"), F.max("shard")
+    begins, full = F.col("first_slot") == F.col("shard") * per_shard, F.col("n_sequences") == per_shard
+    told = shards.agg(
+        n.alias("n"), F.countDistinct("shard").alias("distinct"), last.alias("last"), F.count_if(~begins).alias("moved"), F.count_if(~full).alias("short"), F.max(F.when(~full, F.col("shard"))).alias("at")
+    ).first()
+    if told["n"] and (told["n"] != told["distinct"] or told["n"] != told["last"] + 1 or told["moved"] or told["short"] > 1 or told["at"] not in (None, told["last"])):
+        raise RuntimeError(f"shards of {path} are not whole: {told.asDict()}")
+    stride = 2 * length
+    wrong = (F.octet_length("data") != F.col("n_sequences") * stride) | (F.size("keys") != F.col("n_sequences"))
+    data = F.when(wrong, F.raise_error(F.concat(F.lit("bytes of shard "), F.col("shard").cast("string")))).otherwise(F.col("data"))
+    origin = F.posexplode(F.arrays_zip("keys", "parts", "n_tokens")).alias("at", "of")
+    rows = shards.withColumn("data", data).select("shard", "first_slot", "data", origin)
+    return rows.select(
+        F.col("of.keys").alias(key),
+        F.col("of.parts").alias("part"),
+        F.col("of.n_tokens").alias("n_tokens"),
+        (F.col("first_slot") + F.col("at")).alias("slot"),
+        "shard",
+        (F.col("at") * stride).cast("long").alias("byte_offset"),
+        F.expr(f"substring(data, at * {stride} + 1, {stride})").alias("ids"),
+    )
 
 
 def read_from(spark: SparkSession, path: str, slot: int, length: int, per_shard: int) -> DataFrame:
@@ -193,11 +237,20 @@ def read_from(spark: SparkSession, path: str, slot: int, length: int, per_shard:
     return rows.select((F.col("first_slot") + F.col("at")).alias("slot"), ids.alias("ids")).where(F.col("slot") >= slot)
 
 
+def written_order(docs: DataFrame, ranks: str, pattern: str, end_id: int, length: int = 1024, per_shard: int = 2048, key: str = "doc_id", **how) -> DataFrame:
+    """``training_order`` written as shards to the shared folder; the rows are those read back."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "shards")
+    sequences = training_order(docs, ranks, pattern, end_id, length=length, per_shard=per_shard, key=key, **how)
+    write_shards(sequences, path)
+    return from_shards(spark, path, key, sequences.schema[key].dataType.simpleString(), length, per_shard)
+
+
 def op9(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents") if docs is None else docs
-    return training_order(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end_id=50256)
+    return written_order(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, end_id=50256)
 
 
 QUERIES = {"op9_training_order": (op9, None)}

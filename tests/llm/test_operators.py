@@ -442,6 +442,35 @@ def test_training_order_round_trip(spark, tmp_path):
     assert make(empty(spark)).count() == 0
 
 
+def test_shards_are_written_whole_and_read_back(spark):
+    import glob
+
+    from riskframe.sources.scratch import scratch_root
+
+    texts = [(None if i % 50 == 0 else i, " ".join(f"w{i * j % 97}" for j in range(i % 40)), "a") for i in range(400)]
+    docs = frame(spark, texts + texts[:5])
+    how = dict(end_id=50256, length=16, per_shard=32)
+    before = set(glob.glob(f"{scratch_root(spark)}/riskframe/shards-*"))
+    got = training_order.written_order(docs, RANKS, public_tokenizers.PATTERN, **how)
+    want = training_order.training_order(docs, RANKS, public_tokenizers.PATTERN, **how)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    (path,) = set(glob.glob(f"{scratch_root(spark)}/riskframe/shards-*")) - before
+    total, sizes = want.count(), {}
+    for r in spark.read.parquet(path).collect():  # more shards than tasks, and not a multiple of them
+        assert r.shard not in sizes and r.first_slot == 32 * r.shard and len(r.data) == 32 * r.n_sequences
+        sizes[r.shard] = r.n_sequences
+    assert len(sizes) > 8 and len(sizes) % 8
+    assert [sizes[i] for i in range(len(sizes))] == [32] * (total // 32) + [total % 32] * (total % 32 > 0)
+    ids = {r.slot: bytes(r.ids) for r in want.collect()}
+    assert {r.slot: bytes(r.ids) for r in training_order.read_from(spark, path, 70, 16, 32).collect()} == {k: v for k, v in ids.items() if k >= 70}
+    short = f"{path}-short"
+    spark.read.parquet(path).where("shard <> 3").write.parquet(short)
+    with pytest.raises(RuntimeError):
+        training_order.from_shards(spark, short, "doc_id", "bigint", 16, 32)
+    assert training_order.written_order(empty(spark), RANKS, public_tokenizers.PATTERN, **how).count() == 0
+
+
 # ---- 10 ----
 
 
