@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskframe.llm import binary_codes, cotraining, decontaminate, jaccard_join, mixture, quote_links, secret_scan, suffix_dedup, token_lattice, training_order
+from riskframe.llm import binary_codes, cotraining, decontaminate, jaccard_join, merkle, mixture, quote_links, secret_scan, suffix_dedup, token_lattice, training_order
 
-MODULES = (quote_links, binary_codes, suffix_dedup, jaccard_join, decontaminate, cotraining, token_lattice, secret_scan, training_order, mixture)
+MODULES = (quote_links, binary_codes, suffix_dedup, jaccard_join, decontaminate, cotraining, token_lattice, secret_scan, training_order, mixture, merkle)
 
 
 def queries() -> dict:
