@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskframe.llm import binary_codes, cotraining, decontaminate, jaccard_join, licenses, merkle, mixture, quote_links, secret_scan, suffix_dedup, token_lattice, training_order
+from riskframe.llm import binary_codes, cotraining, decontaminate, dialogue_repair, jaccard_join, licenses, merkle, mixture, quote_links, secret_scan, suffix_dedup, token_lattice, training_order
 
-MODULES = (quote_links, binary_codes, suffix_dedup, jaccard_join, decontaminate, cotraining, token_lattice, secret_scan, training_order, mixture, merkle, licenses)
+MODULES = (quote_links, binary_codes, suffix_dedup, jaccard_join, decontaminate, cotraining, token_lattice, secret_scan, training_order, mixture, merkle, licenses, dialogue_repair)
 
 
 def queries() -> dict:
