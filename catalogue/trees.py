@@ -14,6 +14,12 @@ from riskframe.operators.split import in_test
 X = ["l_quantity", "l_discount", "l_tax"]
 NEWTON_GRID = B.product(min_child_weight=[1, 8], eta=[0.1, 0.3])
 ADA_GRID = B.product(max_leaf_nodes=[3, 4], learning_rate=[0.4, 1.0])
+# the grids of the original study
+NEWTON_RATES = B.product(eta=B.grid(0.01, 1, 0.05))
+NEWTON_WEIGHTS = B.product(min_child_weight=list(range(9)), eta=B.grid(0.01, 0.5, 0.05))
+ADA_RATES = B.product(learning_rate=B.grid(0.1, 2.4, 0.3))
+ADA_LEAVES = B.product(max_leaf_nodes=[int(v) for v in B.grid(10, 50, 10)], learning_rate=B.grid(0.1, 1.3, 0.3))
+PRICED = ["l_extendedprice", "l_discount"]
 
 
 def _margins(df, model):
@@ -44,12 +50,33 @@ def newton_confusion(spark, sf):
 
 
 def newton_continuous(spark, sf):
-    """Training on a feature with more values than bins; predictions by class, no SQL twin."""
+    """Training on a feature with more values than bins, past the rewriting of the margins."""
     lines = line_study(spark, sf)
     model = B.newton_boost(lines, "y", [*X, "l_extendedprice"], rounds=10, max_depth=4)
     return model.predict(lines).groupBy("y", "pred").agg(F.count("*").alias("n"))
 
 
+def _by_margin(df, model):
+    scored = model.predict(df, margin="margin").withColumn("margin", F.round("margin", 5))
+    return scored.groupBy("margin").agg(F.count("*").alias("n"))
+
+
+def adaboost_continuous_stumps(spark, sf):
+    """Exact splits among all values of a price."""
+    lines = line_study(spark, sf)
+    return _by_margin(lines, B.adaboost(lines, "y", PRICED, rounds=5))
+
+
+def adaboost_continuous_leaves(spark, sf):
+    lines = line_study(spark, sf)
+    return _by_margin(lines, B.adaboost(lines, "y", PRICED, rounds=2, learning_rate=0.8, max_leaf_nodes=6))
+
+
+def tree_continuous(spark, sf):
+    lines = line_study(spark, sf)
+    return _by_margin(lines, B.hist_tree(lines, "y", PRICED, max_leaf_nodes=9))
+
+
 def adaboost_rounds(spark, sf):
     return rounded(B.adaboost(line_study(spark, sf), "y", X, rounds=3, variant="samme").rounds_df(spark), 5)
 
@@ -100,6 +127,26 @@ def sweep_best_by_weight(spark, sf):
     return rounded(B.best_of(result, "test_acc", ["eta"], by=["min_child_weight"]))
 
 
+def newton_sweep_rates(spark, sf):
+    """All 20 learning rates of the original, 100 rounds each."""
+    return rounded(B.sweep("newton", NEWTON_RATES, *_sides(spark, sf), "y", X))
+
+
+def newton_sweep_weights(spark, sf):
+    """All 90 points of child weight and learning rate, 100 rounds each."""
+    return rounded(B.sweep("newton", NEWTON_WEIGHTS, *_sides(spark, sf), "y", X))
+
+
+def adaboost_sweep_rates(spark, sf):
+    """All 8 learning rates, 50 rounds each."""
+    return rounded(B.sweep("samme.r", ADA_RATES, *_sides(spark, sf), "y", X))
+
+
+def adaboost_sweep_leaves(spark, sf):
+    """All 16 points of leaf cap and learning rate, 200 rounds each."""
+    return rounded(B.sweep("samme.r", ADA_LEAVES, *_sides(spark, sf), "y", X, rounds=200))
+
+
 def _stumps(spark, sf):
     lines = line_study(spark, sf)
     return lines, B.newton_boost(lines, "y", X, rounds=3, max_depth=1)
@@ -157,6 +204,19 @@ def _margin_sql(trees) -> str:
     )
 
 
+_PARTS = (
+    f"parts AS (SELECT {', '.join(X)}, y, min(l_extendedprice) OVER (PARTITION BY part) AS part_price FROM ("
+    "SELECT *, (rank() OVER (ORDER BY l_extendedprice) - 1) * 256 // count(*) OVER () AS part FROM study)), "
+    f"cells AS MATERIALIZED (SELECT {', '.join(X)}, part_price, y, count(*)::DOUBLE AS n FROM parts GROUP BY ALL)"
+)
+_CONTINUOUS = newton_trees("nc", "cells", [*X, "part_price"], 10, 4)
+_PRICE_CELLS = f"cells AS MATERIALIZED (SELECT {', '.join(PRICED)}, y, count(*)::DOUBLE AS n FROM study GROUP BY ALL)"
+
+
+def _by_margin_sql(trees) -> str:
+    return _with(_PRICE_CELLS, *trees.ctes) + f"SELECT round(m, 5) AS margin, sum(n)::BIGINT AS n FROM {trees.rows} GROUP BY 1"
+
+
 _FEATURE = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(X)) + " END"
 _STUMP = newton_trees("nb", "cells", X, 1, 1)
 _STUMP_ROW = _STUMP.round_ctes[0]
@@ -246,7 +306,14 @@ QUERIES = {
         + f"SELECT actual, predicted, (SELECT coalesce(sum(n), 0)::BIGINT FROM {_NEWTON32.rows} WHERE y = actual AND (m > 0) = (predicted = 1)) AS n "
         "FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) g(actual, predicted)",
     ),
-    "newton_continuous": (newton_continuous, None),
+    "newton_continuous": (
+        newton_continuous,
+        _with(_PARTS, *_CONTINUOUS.ctes)
+        + f"SELECT y, CAST(m > 0 AS INTEGER) AS pred, sum(n)::BIGINT AS n FROM {_CONTINUOUS.rows} GROUP BY ALL",
+    ),
+    "adaboost_continuous_stumps": (adaboost_continuous_stumps, _by_margin_sql(ada_trees("cs", "cells", PRICED, 5))),
+    "adaboost_continuous_leaves": (adaboost_continuous_leaves, _by_margin_sql(ada_trees("cl", "cells", PRICED, 2, 0.8, leaves=6))),
+    "tree_continuous": (tree_continuous, _by_margin_sql(ada_trees("ct", "cells", PRICED, 1, leaves=9))),
     "adaboost_rounds": (
         adaboost_rounds,
         _with(_CELLS, *_ADA_S.ctes)
@@ -277,6 +344,11 @@ QUERIES = {
     "newton_sweep": (newton_sweep, _sweep_report("newton", ["min_child_weight", "eta"])),
     "adaboost_sweep": (adaboost_sweep, _sweep_report("samme.r", ["max_leaf_nodes", "learning_rate"])),
     "sweep_best_by_weight": (sweep_best_by_weight, _best_sql()),
+    # up to 90 models of 100 rounds are beyond SQL; tests hold the same fits against plain numpy
+    "newton_sweep_rates": (newton_sweep_rates, None),
+    "newton_sweep_weights": (newton_sweep_weights, None),
+    "adaboost_sweep_rates": (adaboost_sweep_rates, None),
+    "adaboost_sweep_leaves": (adaboost_sweep_leaves, None),
     "shap_stumps": (
         shap_stumps,
         _SHAP + f"SELECT {', '.join(f'round({c}, 5) AS {c}' for c in X)}, feature, round(shap, 5) AS shap, n::BIGINT AS n FROM phi",

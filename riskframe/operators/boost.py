@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
+from riskframe.operators.intervals import PIECES, Intervals, SplitSearch, found, interval_sums, merged, stats
 from riskframe.operators.partials import dense, summed, vector
 from riskframe.operators.placement import Kept, keep_folded, keep_for_passes, occupied_partitions, with_task
 from riskframe.operators.trees import (
@@ -25,17 +26,23 @@ from riskframe.operators.trees import (
     Grower,
     NewtonRule,
     Tree,
+    TIE,
+    ExactCuts,
     binned,
     byte_column,
     byte_matrix,
     feature_array,
     find_cuts,
+    scan_features,
 )
 from riskframe.sources.scratch import materialize
 
 REFRESH = 8  # rounds between two writes of the margins
 PASS_BUDGET = 4_000_000  # doubles of partial histograms per task and pass
+INTERVAL_BUDGET = 1_000_000  # intervals per task and pass
+HELD_BUDGET = 32_000_000  # doubles of histograms that the driver keeps for the next level
 SWEEP_WIDTH = 32  # models trained side by side
+HELD_ROWS = 50_000  # folded rows beside which the points of a sweep are dealt out instead
 
 
 # ---- models ----------------------------------------------------------------------------
@@ -125,7 +132,7 @@ class Booster:
                 inner = f >= 0
                 rows.append((
                     t, i, self.cuts.features[f] if inner else None,
-                    float(self.cuts.points[f][tree.cut[i]]) if inner else None,
+                    self.cuts.threshold(f, int(tree.cut[i])) if inner else None,
                     int(tree.left[i]) if inner else None, int(tree.right[i]) if inner else None,
                     None if inner else float(tree.value[i]), float(tree.cover[i]), float(tree.gain[i]),
                 ))
@@ -169,17 +176,51 @@ class BoostRows:
     """Binned training rows ``(bins, y, n[, margins])`` shared by a batch of models."""
 
     kept: Kept
-    cuts: Cuts
+    cuts: Cuts | ExactCuts
     written: int = 0  # trees per model already inside the margins column
+    refresh = 0  # rounds between two writes of the margins; 0 takes REFRESH
 
     def release(self) -> None:
         self.kept.release()
 
+    def sums(self, kernel) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        return summed(self.kept, kernel)
+
+    def intervals(self, kernel) -> dict[int, Intervals]:
+        return interval_sums(self.kept, kernel)
+
+    def rewritten(self, run: Callable, written: int) -> BoostRows:
+        new = materialize(self.kept.df.mapInArrow(run, "bins binary, y double, n double, margins binary"), "margins")
+        return BoostRows(Kept(new.persist(StorageLevel.MEMORY_AND_DISK), self.kept.tasks), self.cuts, written)
+
+
+@dataclass
+class HeldRows:
+    """The same, few enough to lie in one task: a folded table beside which models are many."""
+
+    batch: pa.RecordBatch
+    cuts: Cuts | ExactCuts
+    written: int = 0
+    refresh = 1
+
+    def release(self) -> None:
+        pass
+
+    def sums(self, kernel) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        return {slot: (np.arange(len(v)), v) for slot, v in kernel(self.batch).items()}
+
+    def intervals(self, kernel) -> dict[int, Intervals]:
+        return {slot: found(part) for slot, part in kernel(self.batch).items()}
+
+    def rewritten(self, run: Callable, written: int) -> HeldRows:
+        return HeldRows(next(run(iter([self.batch]))), self.cuts, written)
+
 
 def boost_rows(df: DataFrame, y: str, x: Sequence[str], max_bins: int, at: str) -> BoostRows:
-    cuts, fold, occupied = find_cuts(df, x, max_bins, at)
-    rows = binned(df, y, cuts, fold is not None)
-    return BoostRows(keep_for_passes(rows, occupied) if fold is None else keep_folded(rows, fold), cuts)
+    scan = scan_features(df, x, max_bins)
+    cuts = find_cuts(df, scan, max_bins, at)
+    rows = binned(df, y, cuts, scan.fold is not None)
+    return BoostRows(keep_for_passes(rows, scan.occupied) if scan.fold is None else keep_folded(rows, scan.fold), cuts)
 
 
 def _margin_reader(models: Sequence[Booster], written: int, width: int, dtype) -> Callable:
@@ -236,12 +277,87 @@ def _histograms(rows: BoostRows, models: Sequence[Booster], growers: dict[int, G
                     out[int(s)] = hist[k].ravel()
             return out
 
-        totals = summed(rows.kept, kernel)
+        totals = rows.sums(kernel)
         for slot, key in enumerate(part):
             yield key, dense(totals, slot, size).reshape(width, n_bins, 2)
 
 
-def _write_margins(rows: BoostRows, models: Sequence[Booster]) -> BoostRows:
+def _split_searches(rows: BoostRows | HeldRows, models: Sequence[Booster], growers: dict[int, Grower], asked: list[tuple[int, int]]):
+    """The finished split searches of the asked (model, node) pairs.  A pass reads, for all of
+    them together, the intervals that are not settled yet."""
+    cuts = rows.cuts
+    width = len(cuts.features)
+    routes = {m: growers[m].routing() for m, _ in asked}
+    used = {m: models[m] for m in routes}
+    read = _margin_reader(models, rows.written, width, cuts.dtype)
+    known: dict[tuple[int, int], list[Intervals | None]] = {key: [None] * width for key in asked}
+    parted: dict[tuple, np.ndarray] = {}
+    open_ends = {(key, f): cuts.starts[f] for key in asked for f in range(width)}
+    while open_ends:
+        pairs = list(open_ends)
+        sizes = np.cumsum([len(open_ends[p]) + 1 for p in pairs])
+        portions = np.split(np.arange(len(pairs)), np.flatnonzero(np.diff(sizes // INTERVAL_BUDGET)) + 1)
+        fresh = {}
+        for portion in portions:
+            here: dict[int, list[tuple[int, int, int, np.ndarray]]] = {}
+            for slot in portion:
+                (m, node), f = pairs[slot]
+                here.setdefault(m, []).append((int(slot), node, f, open_ends[pairs[slot]]))
+
+            def kernel(batch, here=here):
+                bins, margins = read(batch)
+                y, n = vector(batch, "y"), vector(batch, "n")
+                out = {}
+                for m, wanted in here.items():
+                    tree, order = routes[m]
+                    a, b = used[m].channels(y, n, margins[m])
+                    node_of = order[tree.route(bins)]
+                    inside: dict[int, np.ndarray] = {}
+                    for slot, node, f, ends in wanted:
+                        if node not in inside:
+                            inside[node] = np.flatnonzero(node_of == node)
+                        own = inside[node]
+                        if len(own):
+                            out[slot] = stats(bins[own, f], ends, a[own], b[own])
+                return out
+
+            for slot, cells in rows.intervals(kernel).items():
+                fresh[pairs[slot]] = cells
+        for (key, f), finer in fresh.items():
+            known[key][f] = finer if known[key][f] is None else known[key][f].refined(parted[key, f], finer)
+        open_ends, parted = {}, {}
+        for key in dict.fromkeys(key for key, _ in fresh):
+            search = SplitSearch(models[key[0]].rule(), TIE, known[key])
+            for f, which in search.unsettled().items():
+                parted[key, f], open_ends[key, f] = which, known[key][f].ends(which, PIECES)
+    for key in asked:
+        yield key, SplitSearch(models[key[0]].rule(), TIE, known[key])
+
+
+def _level(rows: BoostRows | HeldRows, models: Sequence[Booster], growers: dict[int, Grower], asked: list[tuple[int, int]]) -> None:
+    """Brings the growers all the nodes they ask for."""
+    if isinstance(rows.cuts, ExactCuts):
+        for (i, node), search in _split_searches(rows, models, growers, asked):
+            growers[i].feed_split(node, search.sums(), search.best)
+        return
+    size = len(rows.cuts.features) * rows.cuts.n_bins * 2
+    keep = size * len(asked) <= HELD_BUDGET
+    count, derived = [], []
+    for i in dict.fromkeys(i for i, _ in asked):
+        some, rest = growers[i].halves([node for m, node in asked if m == i])
+        count += [(i, node) for node in some]
+        derived += [(i, *r) for r in rest]
+    siblings = {(i, light): (heavy, parent) for i, heavy, parent, light in derived}
+    for (i, node), hist in _histograms(rows, models, growers, count):
+        if (i, node) in siblings:
+            heavy, parent = siblings[i, node]
+            rest = growers[i].remainder(parent, hist)
+            growers[i].release([parent])
+            growers[i].feed(heavy, rest, keep)
+        growers[i].feed(node, hist, keep)
+
+
+def _write_margins(rows: BoostRows | HeldRows, models: Sequence[Booster]) -> BoostRows | HeldRows:
     """New table with all trees so far inside the margins; cuts the lineage."""
     read = _margin_reader(models, rows.written, len(rows.cuts.features), rows.cuts.dtype)
 
@@ -254,26 +370,23 @@ def _write_margins(rows: BoostRows, models: Sequence[Booster]) -> BoostRows:
                     [*keep, byte_column(np.column_stack(margins))], names=["bins", "y", "n", "margins"]
                 )
 
-    new = materialize(rows.kept.df.mapInArrow(run, "bins binary, y double, n double, margins binary"), "margins")
-    kept = Kept(new.persist(StorageLevel.MEMORY_AND_DISK), rows.kept.tasks)
-    return BoostRows(kept, rows.cuts, max(len(m.trees) for m in models))
+    return rows.rewritten(run, max(len(m.trees) for m in models))
 
 
-def train(rows: BoostRows, models: Sequence[Booster], rounds: int, max_depth: int | None) -> BoostRows:
+def train(rows: BoostRows | HeldRows, models: Sequence[Booster], rounds: int, max_depth: int | None) -> BoostRows | HeldRows:
     """Grow all models side by side; returns the rows with their latest margins.  Tables
     written on the way are released when superseded, the given rows stay cached."""
-    given = rows
+    given, refresh = rows, rows.refresh or REFRESH
     for done in range(1, rounds + 1):
         live = [i for i, m in enumerate(models) if not m.stopped]
         if not live:
             break
         growers = {i: Grower(models[i].rule(), max_depth, models[i].params.get("max_leaf_nodes")) for i in live}
         while asked := [(i, node) for i in live for node in growers[i].wanted()]:
-            for (i, node), hist in _histograms(rows, models, growers, asked):
-                growers[i].feed(node, hist)
+            _level(rows, models, growers, asked)
         for i in live:
             models[i].accept(growers[i])
-        if done % REFRESH == 0 and done < rounds:
+        if done % refresh == 0 and done < rounds:
             older, rows = rows, _write_margins(rows, models)
             if older is not given:
                 older.release()
@@ -350,7 +463,7 @@ def product(**axes: Sequence) -> list[dict]:
     return out
 
 
-def _accuracies(rows: BoostRows, models: Sequence[Booster]) -> list[float]:
+def _accuracies(rows: BoostRows | HeldRows, models: Sequence[Booster]) -> list[float]:
     read = _margin_reader(models, rows.written, len(rows.cuts.features), rows.cuts.dtype)
 
     def kernel(batch, read=read):
@@ -359,10 +472,33 @@ def _accuracies(rows: BoostRows, models: Sequence[Booster]) -> list[float]:
         right = [float(n[(m > 0) == (y == 1)].sum()) for m in margins]
         return {0: np.array([n.sum(), *right])}
 
-    got = dense(summed(rows.kept, kernel), 0, len(models) + 1)
+    got = dense(rows.sums(kernel), 0, len(models) + 1)
     return [float(v / got[0]) if got[0] else float("nan") for v in got[1:]]
 
 
+def _held(rows: BoostRows) -> HeldRows | None:
+    """The rows themselves where they are folded and few."""
+    table = rows.kept.df.limit(HELD_ROWS + 1).toArrow()
+    if table.num_rows > HELD_ROWS or not table.num_rows:
+        return None
+    return HeldRows(table.combine_chunks().to_batches()[0], rows.cuts)
+
+
+def _fit_points(train_rows: HeldRows, test_rows: HeldRows, models: list[Booster], rounds: int, depths: list[int | None], spark: SparkSession) -> list[tuple]:
+    """(train_acc, test_acc) of every model: the models are dealt to the tasks, each with the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                model = models[i]
+                fitted = train(train_rows, [model], rounds, depths[i])
+                got = (_accuracies(fitted, [model])[0], _accuracies(test_rows, [model])[0])
+                yield pa.record_batch([pa.array([i]), *[pa.array([g]) for g in got]], ["id", "train_acc", "test_acc"])
+
+    dealt = spark.range(0, len(models), 1, len(models)).mapInArrow(run, "id long, train_acc double, test_acc double")
+    return [(r["train_acc"], r["test_acc"]) for r in sorted(dealt.collect(), key=lambda r: r["id"])]
+
+
 def sweep(
     kind: str, points: Sequence[dict], train_df: DataFrame, test_df: DataFrame, y: str, x: Sequence[str],
     rounds: int | None = None, max_depth: int | None = None, max_bins: int = 256,
@@ -370,8 +506,10 @@ def sweep(
     """``(params..., train_acc, test_acc)`` for every grid point.
 
     ``kind``: newton (eta, min_child_weight, reg_lambda) or an AdaBoost variant (learning_rate,
-    max_leaf_nodes).  Points are trained side by side: one binning, and one pass per tree
-    level for all of them together.  A parameter that is None gives a null.
+    max_leaf_nodes).  All points share one binning.  Where rows repeat so often that at most
+    50,000 different ones are left, the points are dealt to the tasks; otherwise the rows are, and
+    the points are trained side by side with one pass per tree level for all of them.  A parameter
+    that is None gives a null.
     """
     newton = kind == "newton"
     defaults = (
@@ -380,29 +518,38 @@ def sweep(
         else {"learning_rate": 1.0, "max_leaf_nodes": None}
     )
     rounds = rounds or (100 if newton else 50)
-    binned_rows = boost_rows(train_df, y, x, max_bins, "value" if newton else "midpoint")
-    cuts = binned_rows.cuts
-    tested = binned(test_df, y, cuts)
-    test_rows = BoostRows(keep_for_passes(tested, with_task(tested.select("y")).agg(occupied_partitions()).first()[0]), cuts)
-    base = _newton_base(binned_rows, None) if newton else 0.0
+    spark = train_df.sparkSession
+    scan = scan_features(train_df, x, max_bins)
+    cuts = find_cuts(train_df, scan, max_bins, "value" if newton else "midpoint")
+    fold = scan.fold is not None
+    rows = binned(train_df, y, cuts, fold)
+    train_rows = BoostRows(keep_folded(rows, scan.fold) if fold else keep_for_passes(rows, scan.occupied), cuts)
+    tested = binned(test_df, y, cuts, fold)
+    test_tasks = with_task(tested.select("y")).agg(occupied_partitions()).first()[0]
+    test_rows = BoostRows(keep_for_passes(tested, test_tasks), cuts)
+    base = _newton_base(train_rows, None) if newton else 0.0
+    params = [{**defaults, **p} for p in points]
+    depths = [max_depth if max_depth is not None else (6 if newton else None if p.get("max_leaf_nodes") else 1) for p in params]
     results: dict[int, tuple] = {}
-    capped = [bool({**defaults, **p}.get("max_leaf_nodes")) for p in points]
+    held = (_held(train_rows), _held(test_rows)) if fold else (None, None)
+    if all(held):
+        got = _fit_points(*held, [Booster(kind, cuts, p, base=base) for p in params], rounds, depths, spark)
+        results = dict(enumerate(got))
     # points with and without a leaf cap have different depth limits, so they train apart
-    for cap in (False, True):
-        alike = [i for i, c in enumerate(capped) if c == cap]
-        depth = max_depth if max_depth is not None else (6 if newton else None if cap else 1)
+    for depth in dict.fromkeys(depths) if not results else ():
+        alike = [i for i, d in enumerate(depths) if d == depth]
         for start in range(0, len(alike), SWEEP_WIDTH):
             part = alike[start : start + SWEEP_WIDTH]
-            models = [Booster(kind, cuts, {**defaults, **points[i]}, base=base) for i in part]
-            fitted = train(binned_rows, models, rounds, depth)
-            for i, a, b in zip(part, _accuracies(fitted, models), _accuracies(test_rows, models)):
-                results[i] = (*(None if v is None else float(v) for v in points[i].values()), a, b)
-            if fitted is not binned_rows:
+            models = [Booster(kind, cuts, params[i], base=base) for i in part]
+            fitted = train(train_rows, models, rounds, depth)
+            results |= {i: pair for i, *pair in zip(part, _accuracies(fitted, models), _accuracies(test_rows, models))}
+            if fitted is not train_rows:
                 fitted.release()
-    binned_rows.release()
+    train_rows.release()
     test_rows.release()
     names = ", ".join(f"{k} double" for k in points[0])
-    return train_df.sparkSession.createDataFrame([results[i] for i in range(len(points))], f"{names}, train_acc double, test_acc double")
+    told = [(*(None if v is None else float(v) for v in points[i].values()), *results[i]) for i in range(len(points))]
+    return spark.createDataFrame(told, f"{names}, train_acc double, test_acc double")
 
 
 def best_of(sweep_df: DataFrame, metric: str, params: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

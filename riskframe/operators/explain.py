@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
 from riskframe.operators.boost import Booster
+from riskframe.operators.intervals import GREATEST, LEAST
 from riskframe.operators.partials import matrix
 from riskframe.operators.trees import Tree, feature_array
 
@@ -35,7 +36,7 @@ def leaf_paths(tree: Tree) -> list[tuple[float, list[tuple[int, int, int]], dict
         if f < 0:
             out.append((float(tree.value[i]), [(g, lo, hi) for g, (lo, hi) in ranges.items()], shares))
             continue
-        lo, hi = ranges.get(f, (-1, 1 << 30))
+        lo, hi = ranges.get(f, (LEAST, GREATEST))
         cut = int(tree.cut[i])
         for child, bounds in ((tree.left[i], (lo, min(hi, cut))), (tree.right[i], (max(lo, cut), hi))):
             share = float(tree.cover[child] / tree.cover[i]) if tree.cover[i] else 0.0

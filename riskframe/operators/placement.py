@@ -49,8 +49,8 @@ def keep_for_passes(df: DataFrame, occupied: int) -> Kept:
 
 
 def keep_folded(df: DataFrame, rows: int) -> Kept:
-    """Persist the result of a shuffle that holds about ``rows`` rows, in as few of its
-    partitions as they need."""
+    """Persist the result of a shuffle that holds about ``rows`` rows, in as few partitions as
+    they need; they are dealt anew, so the work before keeps all its tasks."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(1, min(partitions, -(-rows // ROWS_PER_TASK)))
-    return Kept(df.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK), tasks)
+    return Kept(df.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK), tasks)

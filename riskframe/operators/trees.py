@@ -1,13 +1,16 @@
-"""Histogram decision trees grown by Spark passes.
+"""Decision trees grown by Spark passes.
 
 Features are binned once into one byte string per row.  A pass adds up, per open node,
 feature and bin, two channels (gradient and hessian, or the weights of the two classes);
-Spark combines the partial histograms and the driver chooses the splits.  Rows never move."""
+Spark combines the partial histograms and the driver chooses the splits.  Where a feature has
+too many values for bins and splits are to be exact, rows hold the values themselves and passes
+narrow the intervals in which a split can still be best.  Rows never move."""
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted, require_columns
-from riskframe.operators.partials import matrix
-from riskframe.operators.placement import occupied_partitions, with_task
+from riskframe.operators.intervals import FIRST, decode, encode, equal_mass_cuts, interval_sums, pieces
+from riskframe.operators.partials import matrix, vector
+from riskframe.operators.placement import keep_for_passes, occupied_partitions, with_task
 
 TIE = 1e-10  # relative gain difference below which two splits count as equal
+ROUNDING = 1e-13  # share of a node's sums that a difference may leave of nothing
 
 
 # ---- binning ---------------------------------------------------------------------------
@@ -42,9 +47,11 @@ class Cuts:
     def n_bins(self) -> int:
         return max((len(p) for p in self.points), default=0) + 1
 
+    def threshold(self, feature: int, cut: int) -> float:
+        return float(self.points[feature][cut])
+
     def bin(self, x: np.ndarray) -> np.ndarray:
-        if np.isnan(x).any():
-            raise ValueError("features of a tree model must not be null or NaN; impute first")
+        _refuse_nan(x)
         side = "right" if self.at == "value" else "left"
         out = np.empty(x.shape, dtype=self.dtype)
         for f, points in enumerate(self.points):
@@ -52,10 +59,41 @@ class Cuts:
         return out
 
 
-def find_cuts(df: DataFrame, x: Sequence[str], max_bins: int = 256, at: str = "value") -> tuple[Cuts, int | None, int]:
-    """Cuts between all distinct values where a feature has at most ``max_bins`` of them, else
-    at approximate quantiles.  Also gives the number of rows after folding, if rows repeat
-    often enough for that, and the number of tasks that hold rows."""
+def _refuse_nan(x: np.ndarray) -> None:
+    if np.isnan(x).any():
+        raise ValueError("features of a tree model must not be null or NaN; impute first")
+
+
+@dataclass(frozen=True)
+class ExactCuts:
+    """No bins: rows hold the codes of their values and a cut is the code of a threshold, x <= cut
+    to the left.  ``starts``: per feature the ends of the intervals that a split search begins with."""
+
+    features: list[str]
+    starts: list[np.ndarray]
+
+    dtype = np.dtype("<i8")
+
+    def threshold(self, feature: int, cut: int) -> float:
+        return float(decode(np.array([cut]))[0])
+
+    def bin(self, x: np.ndarray) -> np.ndarray:
+        _refuse_nan(x)
+        return encode(np.ascontiguousarray(x))
+
+
+@dataclass(frozen=True)
+class Scan:
+    """What one look at the features tells: all values of those with few, the range of the others."""
+
+    features: list[str]
+    few: dict[int, np.ndarray]
+    ranges: dict[int, tuple[float, float]]
+    fold: int | None  # rows after folding, if rows repeat often enough for that
+    occupied: int  # tasks that hold rows
+
+
+def scan_features(df: DataFrame, x: Sequence[str], max_bins: int) -> Scan:
     require_columns(df, x)
     wide = df.select(*[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(x)])
     names = wide.columns
@@ -64,6 +102,8 @@ def find_cuts(df: DataFrame, x: Sequence[str], max_bins: int = 256, at: str = "v
         F.approx_count_distinct(F.xxhash64(*names)).alias("rows"),
         occupied_partitions().alias("occupied"),
         *[F.approx_count_distinct(c).alias(c) for c in names],
+        *[F.min(c).alias(f"lo_{c}") for c in names],
+        *[F.max(c).alias(f"hi_{c}") for c in names],
     ).first()
     few = [c for c in names if seen[c] <= 1.2 * max_bins]
     values: dict[str, list] = {c: [] for c in few}
@@ -71,16 +111,35 @@ def find_cuts(df: DataFrame, x: Sequence[str], max_bins: int = 256, at: str = "v
         # at most about 1.5 * max_bins values per feature by the sketch above
         for r in wide.select(*few).unpivot([], few, "f", "v").dropna().distinct().collect():
             values[r["f"]].append(r["v"])
-    many = [c for c in names if c not in values or len(values[c]) > max_bins]
-    if many:
-        probs = [i / max_bins for i in range(max_bins + 1)]
-        for c, q in zip(many, wide.approxQuantile(many, probs, 1 / (4 * max_bins))):
-            values[c] = q
-    points = []
-    for c in names:
-        v = np.unique(np.array(values[c], dtype=float))
-        points.append(v[1:] if at == "value" else (v[1:] + v[:-1]) / 2)
-    return Cuts(list(x), points, at), (2 * seen["rows"] if seen["rows"] * 8 <= seen["n"] else None), seen["occupied"]
+    listed = {i: np.unique(np.array(values[c], dtype=float) + 0.0) for i, c in enumerate(names) if len(values.get(c, ())) <= max_bins and c in values}
+    ranges = {i: (seen[f"lo_{c}"], seen[f"hi_{c}"]) for i, c in enumerate(names) if i not in listed}
+    return Scan(list(x), listed, ranges, 2 * seen["rows"] if seen["rows"] * 8 <= seen["n"] else None, seen["occupied"])
+
+
+def find_cuts(df: DataFrame, scan: Scan, max_bins: int, at: str) -> Cuts | ExactCuts:
+    """Cuts between all values of features with few.  Of others, ``value`` cuts make parts of
+    equal mass, by exact counts, so they are the same for any partitioning; for ``midpoint`` cuts
+    there are no bins then, and splits are searched among all values."""
+    if at == "midpoint" and scan.ranges:
+        ends = {f: pieces(*_codes(r), FIRST) for f, r in scan.ranges.items()}
+        return ExactCuts(scan.features, [ends[f] if f in ends else encode(scan.few[f]) for f in range(len(scan.features))])
+    points = {f: v[1:] if at == "value" else (v[1:] + v[:-1]) / 2 for f, v in scan.few.items()}
+    if scan.ranges:
+        many = sorted(scan.ranges)
+        ranges = [_codes(scan.ranges[f]) for f in many]
+        names = [scan.features[f] for f in many]
+        packed = df.select(feature_array(names).alias("x"), F.lit(0.0).alias("y"))
+        kept = keep_for_passes(_coded(packed, ExactCuts(names, [])).withColumn("n", F.lit(1.0)), scan.occupied)
+        read = lambda batch: (byte_matrix(batch, "bins", len(names), ExactCuts.dtype), vector(batch, "n"))
+        for f, codes in zip(many, equal_mass_cuts(lambda kernel: interval_sums(kept, kernel), read, ranges, max_bins)):
+            points[f] = decode(codes)
+        kept.release()
+    return Cuts(scan.features, [points[f] for f in range(len(scan.features))], at)
+
+
+def _codes(values: tuple[float, float]) -> tuple[int, int]:
+    lo, hi = encode(np.array([math.nan if v is None else v for v in values], dtype=float))
+    return int(lo), int(hi)
 
 
 def feature_array(x: Sequence[str]):
@@ -104,9 +163,8 @@ def byte_column(values: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
 
 
-def binned(df: DataFrame, y: str, cuts: Cuts, fold: bool = False) -> DataFrame:
-    """``(bins binary, y double, n double)``; equal rows become one row with a count if folding."""
-    packed = df.select(feature_array(cuts.features).alias("x"), quoted(y).cast("double").alias("y"))
+def _coded(packed: DataFrame, cuts: Cuts | ExactCuts) -> DataFrame:
+    """``(x, y)`` to ``(bins, y)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,7 +172,12 @@ def binned(df: DataFrame, y: str, cuts: Cuts, fold: bool = False) -> DataFrame:
                 bins = cuts.bin(matrix(batch, "x"))
                 yield pa.RecordBatch.from_arrays([byte_column(bins), batch.column(1)], names=["bins", "y"])
 
-    out = packed.mapInArrow(run, "bins binary, y double")
+    return packed.mapInArrow(run, "bins binary, y double")
+
+
+def binned(df: DataFrame, y: str, cuts: Cuts | ExactCuts, fold: bool = False) -> DataFrame:
+    """``(bins binary, y double, n double)``; equal rows become one row with a count if folding."""
+    out = _coded(df.select(feature_array(cuts.features).alias("x"), quoted(y).cast("double").alias("y")), cuts)
     if fold:
         return out.groupBy("bins", "y").agg(F.count("*").cast("double").alias("n"))
     return out.withColumn("n", F.lit(1.0))
@@ -125,7 +188,7 @@ def binned(df: DataFrame, y: str, cuts: Cuts, fold: bool = False) -> DataFrame:
 
 @dataclass
 class Tree:
-    """Node arrays; a leaf has feature -1.  ``cut`` is a bin position, ``cover`` the hessian
+    """Node arrays; a leaf has feature -1.  ``cut`` is a bin position or the code of a value, ``cover`` the hessian
     or weight that reached the node in training."""
 
     feature: np.ndarray
@@ -162,6 +225,7 @@ class Node:
     known: bool = False
     left: int = -1
     right: int = -1
+    hist: np.ndarray | None = None  # kept while the children may be taken from it
 
 
 @dataclass
@@ -268,16 +332,48 @@ class Grower:
                 blocked += [j for j in (self.nodes[i].left, self.nodes[i].right) if not self.nodes[j].known]
         return blocked
 
-    def feed(self, i: int, hist: np.ndarray) -> None:
+    def feed(self, i: int, hist: np.ndarray, keep: bool = False) -> None:
+        """Takes the histogram of a node; with ``keep`` it stays for the children."""
+        found = self.feed_split(i, hist[0].sum(axis=0), lambda: best_split(hist, self.rule))
+        if found and keep:
+            self.nodes[i].hist = hist
+
+    def halves(self, asked: list[int]) -> tuple[list[int], list[tuple[int, int, int]]]:
+        """Of two children asked for, the lighter one is counted and the other is what remains of
+        the parent: (nodes to count, (node, parent, counted sibling))."""
+        wanted, derived = set(asked), []
+        for p, node in enumerate(self.nodes):
+            if node.hist is not None and node.left in wanted and node.right in wanted:
+                pair = (node.left, node.right)
+                light = min(pair, key=lambda k: self.rule.cover(self.nodes[k].sums))
+                heavy = pair[0] + pair[1] - light
+                wanted.discard(heavy)
+                derived.append((heavy, p, light))
+        return [i for i in asked if i in wanted], derived
+
+    def remainder(self, parent: int, hist: np.ndarray) -> np.ndarray:
+        """The histogram of the other child; what only rounding leaves is nothing."""
+        whole = self.nodes[parent].hist
+        rest = whole - hist
+        floor = ROUNDING * np.abs(whole).sum(axis=(0, 1)) / len(whole)
+        rest[np.abs(rest) < floor] = 0.0
+        return np.maximum(rest, 0.0) if isinstance(self.rule, GiniRule) else rest
+
+    def release(self, parents: Iterable[int]) -> None:
+        for p in parents:
+            self.nodes[p].hist = None
+
+    def feed_split(self, i: int, sums: np.ndarray, search: Callable[[], tuple | None]) -> bool:
+        """Takes the sums of a node and, if it is open, its best split."""
         node = self.nodes[i]
         if i == 0:
-            node.sums = hist[0].sum(axis=0)
+            node.sums = sums
         node.known = True
         if self._closed(node):
-            return
-        found = best_split(hist, self.rule)
+            return False
+        found = search()
         if found is None:
-            return
+            return False
         gain, f, c, left = found
         node.split = (gain, f, c)
         for sums in (left, node.sums - left):
@@ -285,6 +381,7 @@ class Grower:
             child.known = self._closed(child)
             self.nodes.append(child)
         node.left, node.right = len(self.nodes) - 2, len(self.nodes) - 1
+        return True
 
     def _closed(self, node: Node) -> bool:
         return (self.max_depth is not None and node.depth >= self.max_depth) or self.rule.terminal(node.sums)
@@ -311,7 +408,7 @@ class Grower:
         is_inner = [i in inner for i in order]
         return Tree(
             feature=np.array([n.split[1] if t else -1 for n, t in zip(ns, is_inner)], dtype=np.int32),
-            cut=np.array([n.split[2] if t else 0 for n, t in zip(ns, is_inner)], dtype=np.int32),
+            cut=np.array([n.split[2] if t else 0 for n, t in zip(ns, is_inner)], dtype=np.int64),
             left=np.array([at[n.left] if t else -1 for n, t in zip(ns, is_inner)], dtype=np.int32),
             right=np.array([at[n.right] if t else -1 for n, t in zip(ns, is_inner)], dtype=np.int32),
             value=np.array([0.0 if t or not n.sums.any() else self.rule.leaf(n.sums) for n, t in zip(ns, is_inner)]),
