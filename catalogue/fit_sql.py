@@ -57,9 +57,10 @@ def logit(name: str, cells: str, p: int, ridge: float = 0.0, group: str | None =
     return ctes
 
 
-def lloyd(name: str, points: str, ks: Sequence[int], seed: int = 25, steps: int = 10) -> list[str]:
+def lloyd(name: str, points: str, ks: Sequence[int], seed: int = 25, steps: int = 10, weight: str = "1") -> list[str]:
     """CTEs ending in ``<name>_c`` (k, c, ctr) and ``<name>_a`` (k, id, c, gap) for k-means on
-    the list column v of ``points`` (id, v), started at the rows of lowest hash."""
+    the list column v of ``points`` (id, v), started at the rows of lowest hash; a point counts
+    ``weight`` times."""
     text = "array_to_string(list_transform(v, lambda z: round(z * 1e6)::BIGINT), ',')"
     k_values = ", ".join(f"({k})" for k in ks)
     ctes = [
@@ -77,8 +78,8 @@ def lloyd(name: str, points: str, ks: Sequence[int], seed: int = 25, steps: int
     for i in range(steps):
         ctes.append(assign(i))
         ctes.append(
-            f"{name}_c{i + 1} AS MATERIALIZED (SELECT k, c, list(m ORDER BY d) AS ctr FROM (SELECT k, c, d, avg(x) AS m FROM "
-            f"(SELECT k, c, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM {name}_a{i} JOIN {points} USING (id)) "
+            f"{name}_c{i + 1} AS MATERIALIZED (SELECT k, c, list(m ORDER BY d) AS ctr FROM (SELECT k, c, d, sum(x * w) / sum(w) AS m FROM "
+            f"(SELECT k, c, {weight} AS w, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM {name}_a{i} JOIN {points} USING (id)) "
             "GROUP BY k, c, d) GROUP BY k, c)"
         )
     ctes += [assign(steps), f"{name}_c AS (SELECT * FROM {name}_c{steps})", f"{name}_a AS (SELECT * FROM {name}_a{steps})"]

@@ -136,6 +136,11 @@ def kmeans_elbow(spark, sf):
     return rounded(K.elbow(_line_vectors(spark, sf), "features", [1, 2, 3, 4]), 4)
 
 
+def kmeans_elbow_20(spark, sf):
+    """All 20 numbers of clusters of the original."""
+    return rounded(K.elbow(_line_vectors(spark, sf), "features"), 4)
+
+
 def _embeddings(spark, sf):
     vectors = table(spark, sf, "embeddings")
     return vectors.withColumn("features", F.col("embedding").cast("array<double>"))
@@ -150,6 +155,17 @@ def elbow_embeddings(spark, sf):
     return rounded(K.elbow(_embeddings(spark, sf), "features", [1, 2, 5, 10]), 5)
 
 
+def elbow_embeddings_20(spark, sf):
+    return rounded(K.elbow(_embeddings(spark, sf), "features"), 5)
+
+
+def kmeans_oversampled(spark, sf):
+    """Clusters from oversampled starts; the draw is beyond SQL, so their number and rows are compared."""
+    vectors = _line_vectors(spark, sf)
+    labelled = K.kmeans(vectors, "features", 6, start="oversampled").predict(vectors)
+    return labelled.agg(F.countDistinct("cluster").alias("clusters"), F.count("cluster").alias("n"))
+
+
 # ---- SQL -------------------------------------------------------------------------------
 
 
@@ -245,6 +261,7 @@ _SCALED_POINTS = (
     "pts AS MATERIALIZED (SELECT row_number() OVER () AS id, l_linenumber, ["
     + ", ".join(f"({c} - lo_{c}) / (hi_{c} - lo_{c})" for c in SCALED) + "] AS v FROM lineitem, r)"
 )
+_FOLDED_POINTS = "folded AS MATERIALIZED (SELECT row_number() OVER () AS id, v, count(*)::DOUBLE AS n FROM pts GROUP BY v)"
 _EMB_POINTS = "pts AS MATERIALIZED (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings)"
 
 QUERIES = {
@@ -330,4 +347,14 @@ QUERIES = {
         elbow_embeddings,
         _with(_EMB_POINTS, lloyd("km", "pts", [1, 2, 5, 10])) + "SELECT k, round(sum(gap), 5) AS within_ss FROM km_a GROUP BY 1",
     ),
+    "kmeans_elbow_20": (
+        kmeans_elbow_20,
+        _with(_SCALED_POINTS, _FOLDED_POINTS, lloyd("km", "folded", range(1, 21), weight="n"))
+        + "SELECT k, round(sum(n * gap), 4) AS within_ss FROM km_a JOIN folded USING (id) GROUP BY 1",
+    ),
+    "elbow_embeddings_20": (
+        elbow_embeddings_20,
+        _with(_EMB_POINTS, lloyd("km", "pts", range(1, 21))) + "SELECT k, round(sum(gap), 5) AS within_ss FROM km_a GROUP BY 1",
+    ),
+    "kmeans_oversampled": (kmeans_oversampled, "SELECT 6::BIGINT AS clusters, count(*) AS n FROM lineitem"),
 }

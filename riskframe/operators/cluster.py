@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
-from riskframe.functions.keys import hash_hex
+from riskframe.functions.keys import hash_hex, hash_unit
 from riskframe.operators.features import minmax_scale
 from riskframe.operators.partials import dense, matrix, summed
 from riskframe.operators.placement import keep_for_passes, occupied_partitions, with_task
@@ -31,6 +31,27 @@ def _assign(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return best, gap
 
 
+SAME = 1e-9  # share of the squared lengths within which two distances are measured again, one by one
+
+
+def _assign_many(x: np.ndarray, models: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same for several sets of centers: one matrix product bounds all distances, and only
+    rows with more than one center within the rounding of the nearest are measured exactly."""
+    centers = np.concatenate(models)
+    lengths = (centers**2).sum(axis=1)
+    score = lengths / 2 - x @ centers.T
+    slack = SAME * ((x**2).sum(axis=1) + lengths.max())
+    out, a = [], 0
+    for model in models:
+        own = score[:, a : a + len(model)]
+        a += len(model)
+        best = own.argmin(axis=1)
+        close = np.flatnonzero((own <= own[np.arange(len(x)), best][:, None] + slack[:, None]).sum(axis=1) > 1)
+        best[close] = _assign(x[close], model)[0]
+        out.append((best, ((x - model[best]) ** 2).sum(axis=1)))
+    return out
+
+
 @dataclass
 class KMeansFit:
     k: int
@@ -87,16 +108,87 @@ def _vector_text(name: str):
     return F.array_join(F.transform(name, lambda v: F.round(v * 1e6).cast("long").cast("string")), ",")
 
 
+def oversampled_centers(df: DataFrame, vector: str, k: int, seed: int, rounds: int = 5, factor: float = 2.0) -> np.ndarray:
+    """k start centers by oversampling (k-means||).
+
+    Every round takes each different row with a chance in proportion to its squared distance from
+    the centers so far, about ``factor * k`` rows; its draw is a hash of the row, so any
+    partitioning takes the same.  The rows taken, weighted by how many rows they are nearest to,
+    are reduced to k by weighted k-means++ and a few weighted updates."""
+    rows = df.select(F.col(vector).alias("v"))
+    taken = first_centers(df, vector, 1, seed)
+
+    def gap_to(centers: np.ndarray):
+        @F.arrow_udf("double")
+        def gap(v: pa.Array) -> pa.Array:
+            x = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
+            return pa.array(_assign_many(x, [centers])[0][1])
+
+        return gap(F.col("v"))
+
+    for i in range(rounds):
+        measured = rows.withColumn("gap", gap_to(taken))
+        cost = measured.agg(F.sum("gap")).first()[0]
+        if not cost:
+            break
+        # nine digits, so that the order of adding up does not show
+        chance = F.lit(factor * k / float(f"{cost:.8e}")) * F.col("gap")
+        draw = hash_unit([_vector_text("v")], seed + i + 1)
+        fresh = measured.where(draw < chance).select("v").distinct().collect()
+        if fresh:
+            taken = np.unique(np.concatenate([taken, np.array([r["v"] for r in fresh], dtype=float)]), axis=0)
+    if len(taken) < k:
+        return first_centers(df, vector, k, seed)
+
+    @F.arrow_udf("int")
+    def nearest(v: pa.Array) -> pa.Array:
+        x = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
+        return pa.array(_assign_many(x, [taken])[0][0].astype(np.int32))
+
+    weight = np.zeros(len(taken))
+    for r in rows.groupBy(nearest(F.col("v")).alias("c")).count().collect():
+        weight[r["c"]] = r["count"]
+    return _reduced(taken, weight, k, seed)
+
+
+def _reduced(points: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k centers of weighted points: drawn by weighted k-means++, then a few weighted updates."""
+    rng = np.random.default_rng(seed)
+    chosen = [int(np.argmax(weight))]
+    gap = ((points - points[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < k:
+        mass = weight * gap
+        if not mass.any():
+            mass = np.isin(np.arange(len(points)), chosen, invert=True).astype(float)
+        chosen.append(int(np.searchsorted(np.cumsum(mass), rng.random() * mass.sum(), side="right")))
+        gap = np.minimum(gap, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
+    centers = points[chosen]
+    for _ in range(10):
+        which, _ = _assign(points, centers)
+        mass = np.bincount(which, weight, k)
+        sums = np.column_stack([np.bincount(which, weight * points[:, j], k) for j in range(points.shape[1])])
+        centers = np.where(mass[:, None] > 0, sums / np.maximum(mass, 1e-300)[:, None], centers)
+    return centers
+
+
+START = {"hashed": first_centers, "oversampled": oversampled_centers}
+
+
 def kmeans_many(
-    df: DataFrame, vector: str, ks: Sequence[int], seed: int = 25, max_iter: int = 10, centers: np.ndarray | None = None
+    df: DataFrame, vector: str, ks: Sequence[int], seed: int = 25, max_iter: int = 10, centers: np.ndarray | None = None,
+    start: str = "hashed",
 ) -> dict[int, KMeansFit]:
-    """One fit per number of clusters, all in the same passes."""
+    """One fit per number of clusters, all in the same passes.  Without given centers they start
+    at hashed rows, the same for all numbers, or each at ``oversampled`` ones."""
     vectors = df.select(F.col(vector).cast("array<double>").alias("x"))
     rows = keep_for_passes(vectors, with_task(vectors).agg(occupied_partitions()).first()[0])
     try:
-        start = first_centers(rows.df, "x", max(ks), seed) if centers is None else np.asarray(centers, dtype=float)
-        at = {k: start[:k].copy() for k in ks}
-        dim = start.shape[1]
+        if centers is None and start == "oversampled":
+            at = {k: oversampled_centers(rows.df, "x", k, seed) for k in ks}
+        else:
+            first = START[start](rows.df, "x", max(ks), seed) if centers is None else np.asarray(centers, dtype=float)
+            at = {k: first[:k].copy() for k in ks}
+        dim = next(iter(at.values())).shape[1]
         fits: dict[int, KMeansFit] = {}
         moving = set(ks)
         for iteration in range(max_iter + 1):
@@ -105,8 +197,7 @@ def kmeans_many(
             def kernel(batch, now=now):
                 x = matrix(batch, "x")
                 out = {}
-                for k, c in now.items():
-                    which, gap = _assign(x, c)
+                for k, (which, gap) in zip(now, _assign_many(x, list(now.values()))):
                     sums = np.column_stack([np.bincount(which, x[:, j], k) for j in range(dim)])
                     out[k] = np.concatenate([np.bincount(which, minlength=k), sums.ravel(), [gap.sum()]])
                 return out
@@ -128,9 +219,11 @@ def kmeans_many(
         rows.release()
 
 
-def kmeans(df: DataFrame, vector: str, k: int = 6, seed: int = 25, max_iter: int = 10, centers=None) -> KMeansFit:
-    """Centers after at most ``max_iter`` updates from k hashed start rows (or given centers)."""
-    return kmeans_many(df, vector, [k], seed, max_iter, centers)[k]
+def kmeans(
+    df: DataFrame, vector: str, k: int = 6, seed: int = 25, max_iter: int = 10, centers=None, start: str = "hashed"
+) -> KMeansFit:
+    """Centers after at most ``max_iter`` updates from k hashed or oversampled start rows (or given centers)."""
+    return kmeans_many(df, vector, [k], seed, max_iter, centers, start)[k]
 
 
 def elbow(df: DataFrame, vector: str, ks: Sequence[int] = tuple(range(1, 21)), seed: int = 25, max_iter: int = 10) -> DataFrame:
