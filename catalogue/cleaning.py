@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogue.inputs import rounded, table
 from riskframe.operators import features as S
-from riskframe.operators.design import design_frame, dummy_columns, factor, factors
+from riskframe.operators.design import design_frame, dummy_columns, factor, factor_table, factors
 from riskframe.sources.scratch import scratch_path
 from riskframe.sources.tables import CORRUPT, quarantine, read_table, write_table
 
@@ -111,6 +111,27 @@ def impute_mode(spark, sf):
     return rounded(S.impute(lines, ["gap"], "mode").groupBy("gap_imp").agg(F.count("*").alias("n")))
 
 
+def impute_median(spark, sf):
+    lines = table(spark, sf, "lineitem").withColumn("gap", F.nullif(F.col("l_discount"), F.lit(0.0)))
+    return rounded(S.impute(lines, ["gap"], "median").groupBy("gap_imp").agg(F.count("*").alias("n")))
+
+
+def category_dictionary_wide(spark, sf):
+    """Columns with very many labels."""
+    return S.category_index(table(spark, sf, "lineitem"), ["l_orderkey", "l_partkey"])
+
+
+def index_categories_wide(spark, sf):
+    """A dictionary that stays a table: one label for every order."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    indexed = S.index_categories(lines, ["l_orderkey"])
+    return indexed.select("l_orderkey", "l_linenumber", F.col("l_orderkey_idx").cast("int").alias("order_idx"))
+
+
+def factor_levels_table(spark, sf):
+    return factor_table(table(spark, sf, "orders"), ["o_orderpriority", "o_custkey"])
+
+
 def category_dictionary(spark, sf):
     orders = table(spark, sf, "orders")
     return S.category_index(orders, ["o_orderstatus", "o_orderpriority"])
@@ -217,6 +238,28 @@ QUERIES = {
         "WITH m AS (SELECT l_discount AS v FROM lineitem WHERE l_discount <> 0 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1) "
         "SELECT round(coalesce(nullif(l_discount, 0.0), v), 6) AS gap_imp, count(*) AS n FROM lineitem, m GROUP BY 1",
     ),
+    "impute_median": (
+        impute_median,
+        "WITH m AS (SELECT quantile_cont(nullif(l_discount, 0.0), 0.5) AS v FROM lineitem) "
+        "SELECT round(coalesce(nullif(l_discount, 0.0), v), 6) AS gap_imp, count(*) AS n FROM lineitem, m GROUP BY 1",
+    ),
+    "category_dictionary_wide": (
+        category_dictionary_wide,
+        "WITH c AS (SELECT 'l_orderkey' AS \"column\", l_orderkey::VARCHAR AS label, count(*) AS n FROM lineitem GROUP BY 2 "
+        "UNION ALL SELECT 'l_partkey', l_partkey::VARCHAR, count(*) FROM lineitem GROUP BY 2) SELECT *, "
+        "CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY n DESC, label) - 1 AS INTEGER) AS idx FROM c",
+    ),
+    "index_categories_wide": (
+        index_categories_wide,
+        "WITH c AS (SELECT l_orderkey, CAST(row_number() OVER (ORDER BY count(*) DESC, l_orderkey::VARCHAR) - 1 AS INTEGER) AS order_idx "
+        "FROM lineitem GROUP BY l_orderkey) SELECT l_orderkey, l_linenumber, order_idx FROM lineitem JOIN c USING (l_orderkey)",
+    ),
+    "factor_levels_table": (
+        factor_levels_table,
+        "WITH c AS (SELECT DISTINCT 'o_orderpriority' AS \"column\", o_orderpriority AS level FROM orders "
+        "UNION ALL SELECT DISTINCT 'o_custkey', o_custkey::VARCHAR FROM orders) "
+        "SELECT \"column\", row_number() OVER (PARTITION BY \"column\" ORDER BY level) - 1 AS position, level FROM c",
+    ),
     "category_dictionary": (
         category_dictionary,
         "WITH c AS (SELECT 'o_orderstatus' AS \"column\", o_orderstatus AS label, count(*) AS n FROM orders GROUP BY 2 "

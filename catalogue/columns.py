@@ -8,6 +8,7 @@ from catalogue.inputs import rounded, table
 from riskframe.functions import columns as C
 from riskframe.functions import recode as R
 from riskframe.operators.features import assemble
+from riskframe.operators.lookup import lookup_table
 from riskframe.operators.profile import group_keys
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -131,6 +132,12 @@ def recode_lookup_default(spark, sf):
     return part.select("p_partkey", R.lookup("p_type", {"ECONOMY": "Low", "PROMO": "Low"}, default="Other").alias("tier"))
 
 
+def recode_lookup_table(spark, sf):
+    """A dictionary that is a table: the type of every part, by the text of its key."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return lookup_table(lines, "l_partkey", table(spark, sf, "part"), "p_partkey", "p_type", "part_type", default="Other")
+
+
 def recode_threeway(spark, sf):
     # one status is blanked to null, which must not fall into the catch-all
     status = F.nullif(F.col("l_returnflag"), F.lit("A"))
@@ -230,6 +237,10 @@ QUERIES = {
         recode_lookup_default,
         "SELECT p_partkey, CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'Low' ELSE 'Other' END AS tier FROM part",
     ),
+    "recode_lookup_table": (
+        recode_lookup_table,
+        "SELECT l_orderkey, l_linenumber, l_partkey, coalesce(p_type, 'Other') AS part_type FROM lineitem LEFT JOIN part ON l_partkey = p_partkey",
+    ),
     "recode_threeway": (
         recode_threeway,
         "SELECT CASE l_returnflag WHEN 'A' THEN NULL WHEN 'R' THEN 2 ELSE 1 END AS code, count(*) AS n FROM lineitem GROUP BY 1",

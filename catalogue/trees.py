@@ -180,8 +180,7 @@ def shap_additive(spark, sf):
 def shap_with_values(spark, sf):
     lines, model = _stumps(spark, sf)
     cells = lines.select(*X).distinct().withColumn("cell", F.concat_ws("|", *[F.round(F.col(c) * 100).cast("int") for c in X]))
-    long = E.shap_values(E.tree_shap(cells, model, ["cell"]), cells, ["cell"], X)
-    return rounded(long, 5)
+    return rounded(E.shap_values(cells, model, ["cell"]), 5)
 
 
 # ---- SQL -------------------------------------------------------------------------------

@@ -2,47 +2,98 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
 from riskframe.sources.scratch import materialize
 
-SMALL_CUBE = 1_000_000
-
-
-def pair_counts(df: DataFrame, cols: Sequence[str], level_counts: Mapping[str, int] | None = None) -> DataFrame:
+DENSE = 65_536  # cells of a pair that are counted in a matrix; more are kept one by one
+HELD_CELLS = 2_000_000  # cells that a task holds before it hands them on
+CELLS = "i int, j int, a string, b string, n long"
+
+
+class _Blocks:
+    """Co-occurrence counts of all column pairs over the batches of one task.
+
+    Labels become codes, column by column; code 0 stands for null.  A pair's counts are a dense
+    matrix over its codes, or sorted (cell, count) where the matrix would be large."""
+
+    def __init__(self, width: int):
+        self.width = width
+        self.codes: list[dict[str, int]] = [{} for _ in range(width)]
+        self.counts: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def _encoded(self, f: int, column: pa.Array) -> np.ndarray:
+        seen = column.dictionary_encode()
+        known = self.codes[f]
+        of_label = np.array([known.setdefault(v, len(known) + 1) for v in seen.dictionary.to_pylist()] + [0], dtype=np.int64)
+        return of_label[seen.indices.fill_null(len(of_label) - 1).to_numpy(zero_copy_only=False)]
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        codes = [self._encoded(f, batch.column(f)) for f in range(self.width)]
+        sizes = [len(known) + 1 for known in self.codes]
+        for i in range(self.width):
+            for j in range(i + 1, self.width):
+                if sizes[i] * sizes[j] <= DENSE:
+                    flat = np.bincount(codes[i] * sizes[j] + codes[j], minlength=sizes[i] * sizes[j])
+                    at = np.flatnonzero(flat)
+                    keys, n = (at // sizes[j] << 32) + at % sizes[j], flat[at]
+                else:
+                    keys, n = np.unique((codes[i] << 32) + codes[j], return_counts=True)
+                if (i, j) in self.counts:
+                    keys, n = _merged(*self.counts[i, j], keys, n)
+                self.counts[i, j] = (keys, n)
+
+    def held(self) -> int:
+        return sum(len(keys) for keys, _ in self.counts.values())
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        labels = [pa.array([None, *known], pa.string()) for known in self.codes]
+        for (i, j), (keys, n) in self.counts.items():
+            a, b = keys >> 32, keys & 0xFFFFFFFF
+            both = (a > 0) & (b > 0)
+            size = int(both.sum())
+            if size:
+                columns = [np.full(size, i, np.int32), np.full(size, j, np.int32), labels[i].take(pa.array(a[both])), labels[j].take(pa.array(b[both])), n[both]]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=["i", "j", "a", "b", "n"])
+        self.__init__(self.width)
+
+
+def _merged(keys: np.ndarray, n: np.ndarray, more: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if np.array_equal(keys, more):
+        return keys, n + m
+    every, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
+    return every, np.bincount(at, np.concatenate([n, m]), len(every)).astype(np.int64)
+
+
+def pair_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(i, j, a, b, n)`` for column positions i < j: the contingency counts of all pairs.
 
-    If the columns' level counts multiply to a small number, equal rows are first folded into
-    one weighted row, so the expansion to pairs touches that few rows only; otherwise each row
-    is expanded and the pair counts are combined in the task before the shuffle.  Known
-    ``level_counts`` save the sketch pass that finds them.
+    No row is expanded to its pairs: every task counts label codes in blocks and hands on the
+    cells it met, so the shuffle holds levels, not rows.  A task with very many cells hands them
+    on as it goes.
     """
     rows = df.select(*[quoted(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)])
-    names = rows.columns
-    if level_counts is None:
-        sketch = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first()
-        level_counts = {c: sketch[name] for c, name in zip(cols, names)}
-    if math.prod(level_counts[c] + 1 for c in cols) <= SMALL_CUBE:
-        rows = rows.groupBy(*names).agg(F.count("*").alias("w"))
-    else:
-        rows = rows.withColumn("w", F.lit(1).cast("long"))
-    pairs = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(names[i]).alias("a"), F.col(names[j]).alias("b"))
-            for i in range(len(names))
-            for j in range(i + 1, len(names))
-        ]
-    )
-    cells = rows.select("w", F.inline(pairs)).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-    return cells.groupBy("i", "j", "a", "b").agg(F.sum("w").alias("n"))
-
-
-def cramers_v(df: DataFrame, cols: Sequence[str], level_counts: Mapping[str, int] | None = None) -> DataFrame:
+    width = len(cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _Blocks(width)
+        for batch in batches:
+            if batch.num_rows:
+                blocks.add(batch)
+                if blocks.held() > HELD_CELLS:
+                    yield from blocks.flush()
+        yield from blocks.flush()
+
+    return rows.mapInArrow(run, CELLS).groupBy("i", "j", "a", "b").agg(F.sum("n").alias("n"))
+
+
+def cramers_v(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Symmetric ``(var_a, var_b, v)`` with ones on the diagonal; no continuity correction.
 
     Uses chi2 / n = sum(o^2 / (row total * column total)) - 1, so empty cells need no rows.
@@ -50,7 +101,7 @@ def cramers_v(df: DataFrame, cols: Sequence[str], level_counts: Mapping[str, int
     row totals, column totals and sizes all start from them.
     """
     cols = list(cols)
-    cells = materialize(pair_counts(df, cols, level_counts), "pairs")
+    cells = materialize(pair_counts(df, cols), "pairs")
     pair = ["i", "j"]
     row = cells.groupBy(*pair, "a").agg(F.sum("n").alias("row_n"))
     col = cells.groupBy(*pair, "b").agg(F.sum("n").alias("col_n"))

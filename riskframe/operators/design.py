@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted, require_columns
+from riskframe.operators.ranks import numbered
 
 
 def factor(df: DataFrame, col: str, levels: Sequence[str] | None = None, baseline: str = "first") -> list[str]:
@@ -33,7 +34,7 @@ def factors(
     max_levels: int = 10_000,
 ) -> dict[str, list[str]]:
     """Level lists of several columns from one job.  Levels become model columns, so a column
-    with more than ``max_levels`` is a mistake in the call and raises."""
+    with more than ``max_levels`` is a mistake in the call and raises; ``factor_table`` lists those."""
     known = {c: list(v) for c, v in (levels or {}).items()}
     todo = [c for c in cols if c not in known]
     if todo:
@@ -49,6 +50,15 @@ def factors(
     return {c: known[c] for c in cols}
 
 
+def factor_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, position, level)``: the sorted levels of any number of columns as a table, for
+    columns with more levels than a model could have."""
+    long = df.select(*[quoted(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "level")
+    placed = numbered(long.dropna().distinct(), ["column", "level"], "_place", "levels")
+    first = placed.groupBy("column").agg(F.min("_place").alias("_first"))  # one row per column
+    return placed.join(F.broadcast(first), "column").select("column", (F.col("_place") - F.col("_first")).alias("position"), "level")
+
+
 def _is_level(col: str, level: str) -> Column:
     c = quoted(col)
     return F.when(c.isNotNull(), F.when(c.cast("string") == level, F.lit(1)).otherwise(F.lit(0)))

@@ -88,9 +88,10 @@ def batch_shap(model: Booster, paths: list, bins: np.ndarray) -> np.ndarray:
     return phi
 
 
-def tree_shap(df: DataFrame, model: Booster, key: Sequence[str]) -> DataFrame:
+def tree_shap(df: DataFrame, model: Booster, key: Sequence[str], values: bool = False) -> DataFrame:
     """``(key..., feature, shap)`` in margin units for every row; the values of a row and the
-    expected margin add up to its margin."""
+    expected margin add up to its margin.  With ``values`` also the feature's ``value``, told in
+    the same pass."""
     names = list(model.cuts.features)
     paths = [p for tree in model.trees for p in leaf_paths(tree)]
     keyed = df.select(*[quoted(k) for k in key], feature_array(names).alias("_x"))
@@ -99,17 +100,25 @@ def tree_shap(df: DataFrame, model: Booster, key: Sequence[str]) -> DataFrame:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            phi = batch_shap(model, paths, model.cuts.bin(matrix(batch, "_x")))
+            x = matrix(batch, "_x")
+            phi = batch_shap(model, paths, model.cuts.bin(x))
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(phi.ravel()), len(names)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*columns, lists], names=[*key, "_phi"])
+            told = [_lists(phi), _lists(x)] if values else [_lists(phi)]
+            yield pa.RecordBatch.from_arrays([*columns, *told], names=[*key, "_phi", "_value"][: len(key) + len(told)])
 
     kinds = dict(keyed.dtypes)
-    wide = keyed.mapInArrow(run, ", ".join([*[f"`{k}` {kinds[k]}" for k in key], "_phi array<double>"]))
+    lists = ["_phi array<double>", "_value array<double>"] if values else ["_phi array<double>"]
+    wide = keyed.mapInArrow(run, ", ".join([*[f"`{k}` {kinds[k]}" for k in key], *lists]))
     labels = F.array(*[F.lit(n) for n in names])
-    return wide.select(*[quoted(k) for k in key], F.posexplode("_phi").alias("_i", "shap")).select(
-        *[quoted(k) for k in key], labels[F.col("_i")].alias("feature"), "shap"
-    )
+    held = [*[quoted(k) for k in key], *([F.col("_value")] if values else [])]
+    long = wide.select(*held, F.posexplode("_phi").alias("_i", "shap"))
+    own = [F.col("_value")[F.col("_i")].alias("value")] if values else []
+    return long.select(*[quoted(k) for k in key], labels[F.col("_i")].alias("feature"), *own, "shap")
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    flat = np.ascontiguousarray(rows, dtype=float).ravel()
+    return pa.FixedSizeListArray.from_arrays(pa.array(flat), rows.shape[1]).cast(pa.list_(pa.float64()))
 
 
 def base_value(model: Booster, spark: SparkSession) -> DataFrame:
@@ -125,9 +134,6 @@ def shap_summary(shap: DataFrame) -> DataFrame:
     )
 
 
-def shap_values(shap: DataFrame, df: DataFrame, key: Sequence[str], features: Sequence[str]) -> DataFrame:
+def shap_values(df: DataFrame, model: Booster, key: Sequence[str]) -> DataFrame:
     """Long table ``(key..., feature, value, shap)``: each contribution beside its feature value."""
-    values = df.select(*[quoted(k) for k in key], *[quoted(c).cast("double").alias(c) for c in features]).unpivot(
-        list(key), list(features), "feature", "value"
-    )
-    return shap.join(values, [*key, "feature"])
+    return tree_shap(df, model, key, values=True)

@@ -7,15 +7,15 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.columns import quoted, require_columns
-from riskframe.operators.design import check_levels
-from riskframe.operators.ranks import exact_quantiles
+from riskframe.operators.lookup import dimension_join
+from riskframe.operators.ranks import exact_quantiles, numbered
 
-MAX_LABELS = 1_000_000
+LISTED_LABELS = 100_000  # labels up to which a fitted dictionary travels with the plan; more stay a table
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str, on_null: str = "error") -> DataFrame:
@@ -84,16 +84,16 @@ def winsorize(
 
 
 def impute(
-    df: DataFrame, cols: Sequence[str], strategy: str = "mean", suffix: str = "_imp", rel_error: float = 0.001
+    df: DataFrame, cols: Sequence[str], strategy: str = "mean", suffix: str = "_imp"
 ) -> DataFrame:
-    """Fill nulls and NaNs of numeric columns into ``<col><suffix>``, typed double."""
+    """Fill nulls and NaNs of numeric columns into ``<col><suffix>``, typed double, with their
+    mean, exact median or mode."""
     clean = {c: F.nanvl(quoted(c).cast("double"), F.lit(None).cast("double")) for c in cols}
     if strategy == "mean":
         row = df.agg(*[F.avg(x).alias(f"v{i}") for i, x in enumerate(clean.values())]).first()
         fill = {c: row[f"v{i}"] for i, c in enumerate(cols)}
     elif strategy == "median":
-        medians = df.select(*[x.alias(c) for c, x in clean.items()]).approxQuantile(list(cols), [0.5], rel_error)
-        fill = {c: (m[0] if m else None) for c, m in zip(cols, medians)}
+        fill = {r["column"]: r["value"] for r in exact_quantiles(df, cols, [0.5]).collect()}
     elif strategy == "mode":
         values = df.select(*[x.alias(c) for c, x in clean.items()]).unpivot([], list(cols), "column", "value")
         counts = values.dropna().groupBy("column", "value").count()
@@ -106,9 +106,8 @@ def impute(
 
 
 def category_index(df: DataFrame, cols: Sequence[str], order: str = "frequencyDesc") -> DataFrame:
-    """Fitted dictionary ``(column, label, n, idx)``; one shuffle for all columns.  The labels
-    of a column are ranked together, so identifier-like columns are refused."""
-    check_levels(df, cols, MAX_LABELS)
+    """Fitted dictionary ``(column, label, n, idx)``; one shuffle for all columns.  Labels are
+    numbered in ranges of their order, so a column may have any number of them."""
     labels = df.select(*[quoted(c).cast("string").alias(c) for c in cols]).unpivot([], list(cols), "column", "label")
     counts = labels.dropna().groupBy("column", "label").agg(F.count("*").alias("n"))
     sort = {
@@ -117,23 +116,48 @@ def category_index(df: DataFrame, cols: Sequence[str], order: str = "frequencyDe
         "alphabetAsc": [F.col("label")],
         "alphabetDesc": [F.col("label").desc()],
     }[order]
-    position = F.row_number().over(Window.partitionBy("column").orderBy(*sort)) - 1
-    return counts.withColumn("idx", position.cast("int"))
+    placed = numbered(counts, ["column", *sort], "_place", "categories")
+    first = placed.groupBy("column").agg(F.min("_place").alias("_first"))  # one row per column
+    return placed.join(F.broadcast(first), "column").select("column", "label", "n", (F.col("_place") - F.col("_first")).cast("int").alias("idx"))
 
 
 def index_categories(
     df: DataFrame, cols: Sequence[str], order: str = "frequencyDesc", invalid: str = "keep", suffix: str = "_idx"
 ) -> DataFrame:
-    """Label indices by frequency (ties by label); unseen and null labels get one extra index.
-    The label dictionary is part of the model, so identifier-like columns are refused."""
-    check_levels(df, cols, MAX_LABELS)
-    model = StringIndexer(
-        inputCols=list(cols),
-        outputCols=[c + suffix for c in cols],
-        stringOrderType=order,
-        handleInvalid=invalid,
-    ).fit(df)
-    return model.transform(df)
+    """Label indices by frequency (ties by label); ``invalid``: null labels get one extra index
+    (keep), lose their row (skip) or raise (error).
+
+    A column with few labels has its dictionary in the plan.  That of a column with many stays a
+    table and is joined, with the rows of frequent labels spread.
+    """
+    require_columns(df, cols)
+    sizes = df.agg(*[F.approx_count_distinct(quoted(c)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+    wide = [c for i, c in enumerate(cols) if sizes[f"d{i}"] > LISTED_LABELS]
+    narrow = [c for c in cols if c not in wide]
+    if narrow:
+        df = StringIndexer(
+            inputCols=narrow, outputCols=[c + suffix for c in narrow], stringOrderType=order, handleInvalid=invalid
+        ).fit(df).transform(df)
+    if wide:
+        dictionary = category_index(df, wide, order)
+        sums = dictionary.groupBy("column").agg(F.count("*").alias("labels"), F.sum("n").alias("rows")).collect()
+        size = {r["column"]: (r["labels"], r["rows"]) for r in sums}
+    for c in wide:
+        labels, rows = size[c]
+        own = dictionary.where(F.col("column") == c).select("label", F.col("idx").cast("double").alias(c + suffix), "n")
+        df = dimension_join(df, c, own, "label", [c + suffix], hot=_frequent(own, rows))
+        missing = quoted(c + suffix).isNull()
+        if invalid == "skip":
+            df = df.where(~missing)
+        else:
+            other = F.lit(float(labels)) if invalid == "keep" else F.raise_error(F.lit(f"a label of {c} is null")).cast("double")
+            df = df.withColumn(c + suffix, F.when(missing, other).otherwise(quoted(c + suffix)))
+    return df
+
+
+def _frequent(dictionary: DataFrame, rows: int, share: float = 0.005) -> list[str]:
+    """Labels with more than a given share of the rows: at most 1 / share of them."""
+    return [r["label"] for r in dictionary.where(F.col("n") > share * rows).select("label").collect()]
 
 
 def one_hot(df: DataFrame, cols: Sequence[str], drop_last: bool = False, suffix: str = "_oh") -> DataFrame:

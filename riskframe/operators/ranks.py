@@ -11,15 +11,32 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
+from riskframe.sources.scratch import materialize
 
 
 def bucket_count(df: DataFrame) -> int:
-    """One bucket per shuffle partition, within the range a split lookup can serve."""
-    return max(2, min(512, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """One bucket per shuffle partition."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def numbered(df: DataFrame, order: Sequence[Column | str], out: str, label: str) -> DataFrame:
+    """Add ``out``: 0, 1, ... in the given order over all rows; written once.
+
+    Ranges of the order go to the tasks, each numbers its own rows, and the sizes of the earlier
+    ranges, one number a task, are added."""
+    ranges = df.repartitionByRange(bucket_count(df), *order).sortWithinPartitions(*order)
+    rows = materialize(ranges.withColumn("_at", F.monotonically_increasing_id()), label)
+    task = F.shiftright("_at", 33)
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    sizes = rows.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))
+    starts = sizes.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    return rows.withColumn("_task", task).join(F.broadcast(starts), "_task").withColumn(out, place).drop("_task", "_at", "_start")
 
 
 def running_totals(
@@ -34,9 +51,12 @@ def running_totals(
     buckets = bucket_count(df)
     probs = [i / buckets for i in range(1, buckets)]
     sketch = df.agg(F.array_distinct(F.percentile_approx(value, probs, 10 * buckets)).alias("splits")).first()
-    splits = F.lit(sketch["splits"] or []).cast("array<double>")
-    position = F.size(F.filter(splits, lambda s: s < F.col(value)))
-    tagged = df.withColumn("_bucket", -position if descending else position)
+    splits = [-math.inf, *sorted({float(v) for v in sketch["splits"] or [] if math.isfinite(v)}), math.inf]
+    bucketed = Bucketizer(splits=splits, inputCol="_value", outputCol="_place", handleInvalid="keep") if len(splits) > 2 else None
+    tagged = df.withColumn("_value", F.col(value).cast("double"))
+    tagged = bucketed.transform(tagged) if bucketed else tagged.withColumn("_place", F.lit(0.0))
+    position = F.col("_place").cast("int")
+    tagged = tagged.withColumn("_bucket", -position if descending else position).drop("_value", "_place")
 
     direction = F.desc if descending else F.asc
     first_key = F.max_by if descending else F.min_by
@@ -44,7 +64,7 @@ def running_totals(
         *[F.sum(t).alias(f"_sum_{t}") for t in totals],
         *[first_key(c, value).alias(f"_first_{c}") for c in following],
     )
-    # one row per bucket, at most 512, in these windows and in the broadcast
+    # one row per bucket in these windows and in the broadcast
     across = Window.orderBy("_bucket")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(

@@ -112,9 +112,10 @@ def test_ols_and_gvif(cohort):
     assert [r["gvif"] for r in L.gvif(cohort, "y", ["a", "b"]).collect()] == pytest.approx([inflation] * 2)
 
 
-@pytest.mark.parametrize("small", [0, 1_000_000])
-def test_cramers_v_by_both_routes(cohort, monkeypatch, small):
-    monkeypatch.setattr("riskframe.operators.association.SMALL_CUBE", small)
+@pytest.mark.parametrize("dense, held", [(65_536, 2_000_000), (0, 2_000_000), (0, 0)])
+def test_cramers_v_in_dense_and_sparse_blocks(cohort, monkeypatch, dense, held):
+    monkeypatch.setattr("riskframe.operators.association.DENSE", dense)
+    monkeypatch.setattr("riskframe.operators.association.HELD_CELLS", held)
     v = {(r["var_a"], r["var_b"]): r["v"] for r in cramers_v(cohort, ["flag", "b", "y"]).collect()}
     assert len(v) == 9 and v["y", "y"] == 1.0 and v["flag", "y"] == v["y", "flag"]
     rows = cohort.groupBy("flag", "y").count().collect()
