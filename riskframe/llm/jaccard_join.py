@@ -1,10 +1,13 @@
 """Exact similarity join of documents as sets of word shingles, in the metric space of Jaccard
 distances.
 
-Single shingles are the pivots of the outer level.  In a fixed order of all shingles, a document
-lies in the cells of the first 15 % of its own: within a distance of 0.15 two sets share one of
-these, so the pair meets.  Shingles that a bounded sample finds in several documents come last in
-the order, which keeps cells small; any order gives the same links.
+Cells are pairs of shingles that follow each other within a set, in a fixed order of all shingles.  Of two sets
+within a distance of 0.15, at most 15 % of either are missing in the other; a missing shingle
+parts two such pairs and an additional one parts one, so the first pair that both have is among
+the first 30 % of each.  A document lies in the cells of these.  Unrelated documents may share a
+shingle by chance, but hardly two neighbours, so cells hold relatives and shared passages; shingles
+that a bounded sample finds in several documents come last in the order, which leaves most
+passages out.  Any order gives the same links.
 
 The members of a cell gather around one document of it, the inner pivot; all cells with the same
 inner pivot are one region.  Documents within the threshold of the pivot are linked to it and so
@@ -19,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.shared import components, materialize, table
@@ -93,13 +96,27 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def prefix(own: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """The first places of a set in the order of all shingles, sorted: one more than a set within
-    the threshold may lack.  A place is whether the shingle is common, then 63 bits of its hash."""
+    """The first places of a set in the order of all shingles, sorted.  A place is whether the
+    shingle is common, then 63 bits of its hash.
+
+    Two sets within the threshold share a pair of neighbours among these; the begin of the order
+    and the first place are a pair, too.  Let x shingles of A be missing in B and y of B in A,
+    before the first pair that both have.  Each of the x parts at most two pairs of A and each of
+    the y one, so at most 2x + y pairs of A come before it.  The threshold bounds x by (1 - t) of
+    A where y is 0, and y costs more of it than it adds, so that is 2 (1 - t) of A at most;
+    likewise in B.  For a threshold over one half a set always has one pair more."""
     place = own >> np.uint64(1)
     if len(own) and len(common):
         at = np.minimum(np.searchsorted(common, own), len(common) - 1)
         place |= (common[at] == own).astype(np.uint64) << np.uint64(63)
-    return np.sort(place)[: len(own) - (percent * len(own) + 99) // 100 + 1]
+    return np.sort(place)[: 2 * (100 - percent) * len(own) // 100 + 1]
+
+
+def cell_ids(places: str) -> Column:
+    """Hashes of the neighbours of a prefix, the first place counting as neighbour of the begin."""
+    own, more = F.col(places), F.greatest(F.size(places) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(own, 1, more), F.slice(own, 2, more), lambda a, b: F.xxhash64(a, b))
+    return F.concat(F.transform(F.slice(own, 1, 1), lambda a: F.xxhash64(a)), pairs)
 
 
 def may_link(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
@@ -196,15 +213,42 @@ def jaccard_components(
 
     Returns key, n_shingles and component_id (smallest key reachable by links, itself included),
     one row per input row.  A to Z is lower-cased and words are cut at blanks; a text of fewer
-    words is one shingle; texts without words are linked with nothing.  Rows with one key are one
-    node; a null key is linked with nothing and has a null component.  Other columns are ignored;
-    an empty table gives an empty result.
+    words is one shingle; texts without words are linked with nothing.  Rows with one key are
+    compared each by its own text and count as linked with each other; a null key is linked with
+    nothing and has a null component.  Other columns are ignored; an empty table gives an empty
+    result.
 
     ``sample_rows`` and ``most_common`` bound what is learnt about frequent shingles; they change
     how much is compared, never the links.
     """
-    spark = docs.sparkSession
+    if not 50 < percent <= 100:
+        raise ValueError("percent must be over 50 and at most 100")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    known_key = F.col("key").isNotNull()
+    if rows.where(known_key).groupBy("key").count().where("count > 1").isEmpty():
+        known, edges = _links(rows, percent, sample_rows, most_common)
+        found = components(edges, "jaccard")
+        return known.join(found, known["key"] == found["node"], "left").select(
+            F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")
+        )
+    # rows are numbered, and those of one key tied
+    rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "jaccard-rows")
+    known, edges = _links(rows.select(F.when(known_key, F.col("row")).alias("key"), "text"), percent, sample_rows, most_common)
+    keyed = rows.where(known_key).select("row", F.col("key").alias("own"))
+    first = keyed.groupBy(F.col("own").alias("same_own")).agg(F.min("row").alias("b"))
+    ties = keyed.join(first, F.col("own") == F.col("same_own")).select(F.col("row").alias("a"), "b")
+    found = components(edges.unionByName(ties), "jaccard")
+    named = keyed.join(known.select(F.col("key").alias("row"), "n"), "row").join(found, F.col("row") == F.col("node"), "left")
+    named = named.withColumn("component", F.coalesce("component", "row"))
+    least = named.groupBy("component").agg(F.min("own").alias("least"))
+    bare = known.where("key is null").select(F.lit(None).cast("long").alias(key), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    return named.join(least, "component").select(F.col("own").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id")).unionByName(bare)
+
+
+def _links(rows: DataFrame, percent: int, sample_rows: int, most_common: int) -> tuple[DataFrame, DataFrame]:
+    """(key, n, same, prefix) of every row, and links (a, b) that join all that is linked; keys
+    that are not null differ."""
+    spark = rows.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(rows, sample_rows, most_common))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,12 +268,10 @@ def jaccard_components(
 
     known = materialize(rows.mapInArrow(cells, "key long, n long, same long, prefix array<long>"), "jaccard-cells")
 
-    # inner pivots: the smallest document of a cell; a partial aggregate, so a frequent shingle
-    # is combined in the tasks.  Two members of unlike sizes are no region
-    members = known.select("key", "n", F.explode("prefix").alias("cell"))
-    sizes = F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most")
-    pivots = members.groupBy("cell").agg(F.min("key").alias("pivot"), *sizes)
-    pivots = pivots.where((F.col("size") > 2) | ((F.col("size") == 2) & (100 * F.col("least") >= percent * F.col("most")))).select("cell", "pivot")
+    # inner pivots: the smallest document of a cell; a partial aggregate, so a frequent pair is
+    # combined in the tasks
+    members = known.select("key", F.explode(cell_ids("prefix")).alias("cell"))
+    pivots = members.groupBy("cell").agg(F.min("key").alias("pivot"), F.max("key").alias("last")).where("pivot < last").select("cell", "pivot")
     regions = members.join(pivots, "cell").where("key <> pivot").select("key", "pivot").distinct()
     regions = materialize(regions, "jaccard-regions")
 
@@ -240,7 +282,7 @@ def jaccard_components(
     def by_pivot(own: bytes, n_own: int, other: bytes, n: int) -> int:
         return int(may_link(np.frombuffer(own, np.uint64), np.frombuffer(other, np.uint64), n_own, n, percent))
 
-    prefixes = known.where(F.size("prefix") > 0).select("key", "n", F.col("prefix").alias("value")).dropDuplicates(["key"])
+    prefixes = known.where(F.size("prefix") > 0).select("key", "n", F.col("prefix").alias("value"))
     judged = _beside_pivot(prefixes, regions, by_prefix, by_pivot).select("pivot", "key", F.col("shared").alias("near"))
     judged = materialize(judged.where("key <> pivot"), "jaccard-judged")
     apart = judged.groupBy("pivot").agg(F.count("*").alias("size"), F.min("near").alias("near")).where("size > 1 and near = 0").select("pivot")
@@ -301,10 +343,7 @@ def jaccard_components(
         .unionByName(measured.where("linked").select(F.col("key").alias("a"), F.col("pivot").alias("b")))
         .unionByName(ready.mapInArrow(compare, "a long, b long"))
     )
-    found = components(edges, "jaccard")
-    return known.join(found, known["key"] == found["node"], "left").select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")
-    )
+    return known, edges
 
 
 TILE = ["pivot", "low", "high"]
