@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_recorders: list[list[str]] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``.  Only a session inside one process, as in tests,
@@ -23,7 +27,29 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/riskframe/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/riskframe/{label}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Lists the tables that are written meanwhile, to be discarded once they are superseded."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders[:] = [held for held in _recorders if held is not paths]
+
+
+def discard(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Removes tables of this module that nothing reads any more."""
+    for path in paths:
+        if "/riskframe/" in path:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
