@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from riskframe.llm.shared import components, materialize, table
 
 WORDS = 4
-SLAB = 1 << 21  # bytes hashed at once
+SLAB = 1 << 19  # bytes hashed at once; a task needs some fifty times that
+PARCEL = 1 << 22  # bytes of sets handed on at once
 BLOCK = 512  # documents of a region in one task
 BROADCAST_ROWS = 1_000_000  # lines of keys that may be sent to every executor
 ID_BYTES = 5  # bytes of a shingle's hash that are kept in a set
@@ -376,8 +377,9 @@ def _beside_pivot(rows: DataFrame, regions: DataFrame, encode: Callable, measure
                 for r in own:
                     blocks = range(r["blocks"]) if r["pivot"] == k else [hash(k) % r["blocks"]]
                     out += [(r["pivot"], b, k, n, d) for b in blocks]
-            for part in range(0, len(out), 1000):
-                columns = list(zip(*out[part : part + 1000]))
+            ends = np.cumsum([len(row[-1]) + 28 for row in out]) // PARCEL
+            for part in np.split(np.arange(len(out)), np.flatnonzero(np.diff(ends)) + 1) if out else ():
+                columns = list(zip(*out[part[0] : part[-1] + 1]))
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["pivot", "block", "key", "n", "ids"])
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
