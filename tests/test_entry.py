@@ -25,6 +25,6 @@ def test_the_rest_stays(name):
     assert int(n) - int(ops) >= 128 and known == "True"
     assert "left out" in done.stderr
     if name == "corpus_pipeline":
-        assert (ops, pipeline) == ("13", "False")
+        assert pipeline == "False"
     else:  # a pipeline that does not need what is missing stays
         assert ops == "0" and (pipeline == "False" or name != "riskframe.llm")
