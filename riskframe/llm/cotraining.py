@@ -6,15 +6,19 @@ labelled rows.  In every round each marks the unlabelled rows that it is surest
 become training rows of the other.  Each view is then calibrated on rows that neither was
 trained on, the two calibrated views are combined, and every document is scored.
 
-Only fitting works on samples: ``labelled_rows`` and ``unlabelled_rows`` are bounds, and the
-rows with the smallest hash are taken.  The vocabulary comes from the labelled sample.  Scoring
-reads every document once, where it lies.
+Only labelled rows are sampled: ``labelled_rows`` is a bound, and the keys with the smallest hash
+are taken.  They lie on the driver; the vocabulary comes from them.  All other rows are the pool:
+their features are written once, and every pass reads them where they lie.  A round needs one pass
+that counts how sure each teacher is of how many rows, which gives the cuts, and a few that add up
+losses and gradients.  Pseudo-labels are not stored: they follow from the models and cuts of the
+rounds before.  Scoring reads every document once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+import zlib
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.shared import ascii_lower, materialize, table, words
+from riskframe.sources.scratch import discard, recorded
 
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 EDGE = "".join(map(chr, PUNCTUATION))
+RARE = 64  # columns that the values without a column of their own share, by hash
+
+VIEWS = ("content", "metadata")
+TEACHES = (("content", "metadata"), ("metadata", "content"))
 
 
 # ---- features --------------------------------------------------------------------------
@@ -39,6 +48,10 @@ class Views:
     langs: dict[str, int]
     sources: dict[str, int]
 
+    def columns(self) -> tuple[int, int]:
+        """Number of 0/1 columns of either view."""
+        return len(self.vocabulary), len(self.langs) + len(self.sources) + 2 * (1 + RARE)
+
     def content(self, text: str) -> tuple[list[float], list[int]]:
         """Shares of repetition, and the columns of the vocabulary's words in the text."""
         found = text.translate(_LOWER_STR).split()
@@ -80,8 +93,14 @@ class Views:
             counts[ord("|")] / n,
             float(len(raw) == 0),
         ]
-        own = [self.langs.get(lang or "", 0), len(self.langs) + 1 + self.sources.get(source or "", 0)]
-        return dense, own
+        return dense, [value_column(lang, self.langs), len(self.langs) + 1 + RARE + value_column(source, self.sources)]
+
+
+def value_column(value: str | None, known: dict[str, int]) -> int:
+    """0 for null, 1 and so on for the known values, a shared column by hash for any other."""
+    if value is None:
+        return 0
+    return known[value] if value in known else len(known) + 1 + zlib.crc32(value.encode()) % RARE
 
 
 _LOWER_STR = {c: c + 32 for c in range(65, 91)}
@@ -97,6 +116,29 @@ def design(rows: list[tuple[list[float], list[int]]], columns: int) -> np.ndarra
     return out
 
 
+@dataclass
+class Part:
+    """Rows of one view as they come from the table of features."""
+
+    dense: np.ndarray
+    own: np.ndarray  # 0/1 columns, of one row after the other
+    at: np.ndarray  # the row that each of them belongs to
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, view: str) -> Part:
+        dense, own = batch.column(f"{view[0]}_dense"), batch.column(f"{view[0]}_own")
+        sizes = np.diff(own.offsets.to_numpy())
+        flat = dense.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        return cls(flat.astype(float), own.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(batch.num_rows), sizes))
+
+    def raw(self, head: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        k = head.shape[1]
+        return head @ weights[:k] + np.bincount(self.at, weights[k:][self.own], len(head))
+
+    def gradient(self, head: np.ndarray, rest: np.ndarray, columns: int) -> np.ndarray:
+        return np.concatenate([rest @ head, np.bincount(self.own, rest[self.at], columns)])
+
+
 # ---- models ----------------------------------------------------------------------------
 
 
@@ -115,9 +157,12 @@ class Line:
     slope: float = 1.0
     offset: float = 0.0
 
+    def head(self, dense: np.ndarray) -> np.ndarray:
+        z = np.clip((dense - self.mean) / self.scale, -8, 8)
+        return np.concatenate([np.ones((len(z), 1), z.dtype), z, z * z / 4], axis=1)
+
     def inputs(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x[:, : self.dense] - self.mean) / self.scale, -8, 8)
-        return np.concatenate([np.ones((len(x), 1), np.float32), z, z * z / 4, x[:, self.dense :]], axis=1)
+        return np.concatenate([self.head(x[:, : self.dense]), x[:, self.dense :]], axis=1)
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         return (self.inputs(x) @ self.weights.astype(np.float32)).astype(np.float64)
@@ -204,65 +249,226 @@ class CoTrained:
     mix: np.ndarray  # offset, weight of the content view, weight of the metadata view
     cut: float
     rounds: list[tuple[int, int]]  # pseudo-labels given to (content, metadata) in each round
+    past: list[Round]  # what decided them
 
     def score(self, content: np.ndarray, metadata: np.ndarray) -> np.ndarray:
         a, b = (np.clip(x, -30, 30) for x in (self.content.logit(content), self.metadata.logit(metadata)))
         return self.mix[0] + self.mix[1] * a + self.mix[2] * b
 
 
+# ---- what the pool is told -------------------------------------------------------------
+
+BINS = 512  # bins of log-odds that a teacher's certainty is counted in
+MOST = 30.0
+
+
+@dataclass
+class Round:
+    """The models a round began with, and the bin from which on each learner is told a class."""
+
+    lines: dict[str, Line]
+    sure: float
+    cuts: dict[tuple[str, int], int]
+
+
+def certainty(line: Line, part: Part, sure: float) -> tuple[np.ndarray, np.ndarray]:
+    """Class that a teacher leans to, and the bin of its certainty; below 0: less than ``sure``."""
+    logit = line.slope * part.raw(line.head(part.dense), line.weights) + line.offset
+    least = np.log(sure / (1 - sure))
+    place = np.floor((np.minimum(np.abs(logit), MOST) - least) / (MOST - least) * BINS).astype(int)
+    return (logit > 0).astype(int), np.minimum(place, BINS - 1)
+
+
+def told(parts: dict[str, Part], past: list[Round]) -> dict[str, np.ndarray]:
+    """Pseudo-label of every row for either learner after these rounds; -1 where it has none."""
+    n = len(parts["content"].dense)
+    out = {v: np.full(n, -1) for v in VIEWS}
+    for r in past:
+        for teacher, learner in TEACHES:
+            y, place = certainty(r.lines[teacher], parts[teacher], r.sure)
+            cut = np.where(y == 1, r.cuts[learner, 1], r.cuts[learner, 0])
+            new = (out[learner] < 0) & (place >= 0) & (place >= cut)
+            out[learner][new] = y[new]
+    return out
+
+
+def sure_rows(parts: dict[str, Part], past: list[Round], lines: dict[str, Line], sure: float) -> dict[str, np.ndarray]:
+    """How many rows that a learner was not told about fall into each bin, by learner and class."""
+    before, out = told(parts, past), {"rows": np.array([len(parts["content"].dense)], float)}
+    for teacher, learner in TEACHES:
+        y, place = certainty(lines[teacher], parts[teacher], sure)
+        for c in (0, 1):
+            out[f"{learner}:{c}"] = np.bincount(place[(before[learner] < 0) & (y == c) & (place >= 0)], minlength=BINS).astype(float)
+    return out
+
+
+def losses(parts: dict[str, Part], past: list[Round], asked: dict[str, tuple[Line, np.ndarray]], steps: tuple[float, ...]) -> dict[str, np.ndarray]:
+    """Loss and gradient of the rows each learner was told about, at every size of its step."""
+    labels, out = told(parts, past), {}
+    for view, (line, step) in asked.items():
+        part, y = parts[view], labels[view]
+        head, weight = line.head(part.dense), (y >= 0).astype(float)
+        base, along = part.raw(head, line.weights), part.raw(head, step)
+        columns = len(line.weights) - head.shape[1]
+        for i, size in enumerate(steps):
+            m = base + size * along
+            loss = (weight * (np.logaddexp(0, m) - y * m)).sum()
+            out[f"{view}:{i}"] = np.r_[loss, part.gradient(head, weight * (logistic(m) - y), columns)]
+    return out
+
+
+Kernel = Callable[[dict[str, Part]], dict[str, np.ndarray]]
+
+
+def over(pool: DataFrame, kernel: Kernel) -> dict[str, np.ndarray]:
+    """Sums of ``kernel`` over the table of features: each task adds up its batches, and a shuffle
+    by name and position the tasks, so only model-sized totals reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        acc: dict[str, np.ndarray] = {}
+        for whole in batches:
+            for batch in (whole.slice(i, 4096) for i in range(0, whole.num_rows, 4096)):
+                for name, values in kernel({v: Part.of(batch, v) for v in VIEWS}).items():
+                    acc[name] = acc[name] + values if name in acc else values
+        for name, values in acc.items():
+            yield pa.record_batch([pa.array([name] * len(values)), pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], ["name", "pos", "value"])
+
+    parts = pool.mapInArrow(run, "name string, pos int, value double")
+    sums = parts.groupBy("name", "pos").agg(F.sum("value").alias("value")).toArrow().sort_by("pos")
+    names, values = np.array(sums.column("name").to_pylist()), sums.column("value").to_numpy()
+    return {str(name): values[names == name] for name in np.unique(names)}
+
+
+class Learner:
+    """One view's fit: labelled rows at hand, sums over the pool asked for.
+
+    Quasi-Newton steps: the curvature starts as that of the labelled rows and is mended by the
+    gradients seen.  Every pass tries several sizes of a step, so each either lowers the loss or
+    ends the fit."""
+
+    def __init__(self, line: Line, x: np.ndarray, y: np.ndarray, penalty: float = 0.5):
+        self.line, self.z, self.y = line, line.inputs(x).astype(float), y
+        self.ridge = np.full(self.z.shape[1], penalty)
+        self.ridge[0] = 1e-3
+        self.weight = 0.0  # of one row of the pool
+
+    def at(self, weights: np.ndarray, pooled: np.ndarray) -> tuple[float, np.ndarray]:
+        m = self.z @ weights
+        loss = (np.logaddexp(0, m) - self.y * m).sum() + 0.5 * (self.ridge * weights**2).sum()
+        gradient = (logistic(m) - self.y) @ self.z + self.ridge * weights
+        return loss + self.weight * pooled[0], gradient + self.weight * pooled[1:]
+
+    def begin(self, weight: float, pooled: np.ndarray) -> None:
+        self.weight, self.pairs, self.done = weight, [], False
+        self.loss, self.gradient = self.at(self.line.weights, pooled)
+        p = logistic(self.z @ self.line.weights)
+        curve = (self.z.T * (1.5 * (p * (1 - p) + 1e-3))) @ self.z
+        self.inverse = np.linalg.inv(curve + np.diag(self.ridge))
+
+    def step(self) -> np.ndarray:
+        q, back = self.gradient.copy(), []
+        for s, g in reversed(self.pairs):
+            a = (s @ q) / (s @ g)
+            back.append(a)
+            q -= a * g
+        q = self.inverse @ q
+        for (s, g), a in zip(self.pairs, reversed(back)):
+            q += (a - (g @ q) / (s @ g)) * s
+        return -q
+
+    def move(self, step: np.ndarray, steps: tuple[float, ...], pooled: list[np.ndarray]) -> None:
+        tried = [(*self.at(self.line.weights + size * step, part), size) for size, part in zip(steps, pooled)]
+        loss, gradient, size = min(tried, key=lambda t: t[0])
+        self.done = not loss < self.loss - 1e-4 * max(1.0, abs(self.loss))
+        if loss < self.loss:
+            if (gradient - self.gradient) @ step > 0:
+                self.pairs.append((size * step, gradient - self.gradient))
+            self.line = replace(self.line, weights=self.line.weights + size * step)
+            self.loss, self.gradient = loss, gradient
+
+
+STEPS = (2.0, 1.0, 0.5, 0.125, 0.02)
+
+
+def taught(learners: dict[str, Learner], pool: DataFrame, past: list[Round], weight: dict[str, float], passes: int) -> dict[str, Line]:
+    """Both views fitted to their labelled rows and to what they were told."""
+    asked = {v: (x.line, np.zeros_like(x.line.weights)) for v, x in learners.items()}
+    start = over(pool, lambda parts: losses(parts, past, asked, (0.0,)))
+    for v, x in learners.items():
+        x.begin(weight[v], start[f"{v}:0"])
+    for _ in range(passes):
+        asked = {v: (x.line, x.step()) for v, x in learners.items() if not x.done}
+        if not asked:
+            break
+        sums = over(pool, lambda parts, asked=asked: losses(parts, past, asked, STEPS))
+        for v, (_, step) in asked.items():
+            learners[v].move(step, STEPS, [sums[f"{v}:{i}"] for i in range(len(STEPS))])
+    return {v: x.line for v, x in learners.items()}
+
+
+def cut_at(counts: np.ndarray, most: float) -> tuple[int, int]:
+    """Lowest bin that is told, and the rows told: bins from the surest down, whole, until there
+    are ``most`` rows."""
+    taken, cut = 0, BINS
+    while cut > 0 and taken < most:
+        cut -= 1
+        taken += int(counts[cut])
+    return cut, taken
+
+
 def co_train(
     views: Views,
     content: np.ndarray,
     metadata: np.ndarray,
     label: np.ndarray,
+    pool: DataFrame,
     rounds: int = 4,
     share: float = 0.1,
     sure: float = 0.97,
     spared: float = 0.01,
+    passes: int = 5,
 ) -> CoTrained:
-    """Fit on rows with label 1 (keep), 0 (reject) or -1 (unlabelled), in a fixed order.
+    """Fit on labelled rows, label 1 (keep) or 0 (reject), in a fixed order, and on the pool.
 
     Every third labelled row is kept back for calibration.  In a round each view offers, of the
-    rows still unlabelled, at most ``share`` of them per class with a probability of ``sure``
-    or more; they weigh half a labelled row and stay.  The cut rejects at most ``spared`` of the good
-    rows kept back, and nothing above even odds.
+    rows that the other was not told about, the surest, per class about ``share`` of the pool (whole
+    bins of certainty, so that ties are told alike) and only with a probability of ``sure`` or more.
+    They weigh half a labelled row and stay; all together they weigh at most half of the labelled
+    rows, whatever the size of the pool.  The cut rejects at most ``spared`` of the good rows kept
+    back, and nothing above even odds.
     """
-    dense = {"content": content.shape[1] - len(views.vocabulary), "metadata": metadata.shape[1] - len(views.langs) - len(views.sources) - 2}
-    known = np.flatnonzero(label >= 0)
-    held, train = known[::3], np.setdiff1d(known, known[::3])
-    free = label < 0
-    pseudo = {"content": np.full(len(label), -1), "metadata": np.full(len(label), -1)}
+    columns = dict(zip(VIEWS, views.columns()))
     x = {"content": content, "metadata": metadata}
-    told = []
-
-    def fit(view: str) -> Line:
-        extra = np.flatnonzero(pseudo[view] >= 0)
-        rows = np.concatenate([train, extra])
-        y = np.concatenate([label[train], pseudo[view][extra]])
-        weight = np.concatenate([np.ones(len(train)), np.full(len(extra), 0.5)])
-        line = fitted(x[view][rows], y, weight, dense[view], lines[view].weights if view in lines else None)
-        line.offset, line.slope = combined(line.raw(x[view][held])[:, None], label[held])
-        return line
-
-    lines: dict[str, Line] = {}
-    lines = {v: fit(v) for v in x}
+    held = np.arange(0, len(label), 3)
+    train = np.setdiff1d(np.arange(len(label)), held)
+
+    def calibrated(view: str, line: Line) -> Line:
+        offset, slope = combined(line.raw(x[view][held])[:, None], label[held])
+        return replace(line, offset=offset, slope=slope)
+
+    lines = {v: fitted(x[v][train], label[train], np.ones(len(train)), x[v].shape[1] - columns[v]) for v in VIEWS}
+    learners = {v: Learner(lines[v], x[v][train], label[train]) for v in VIEWS}
+    lines = {v: calibrated(v, line) for v, line in lines.items()}
+    past: list[Round] = []
+    counts, total = [], dict.fromkeys(VIEWS, 0)
     for _ in range(rounds):
-        given = {}
-        for teacher, learner in (("content", "metadata"), ("metadata", "content")):
-            pool = np.flatnonzero(free & (pseudo[learner] < 0))
-            p = logistic(lines[teacher].logit(x[teacher][pool]))
-            most = int(share * free.sum())
-            for y, confidence in ((1, p), (0, 1 - p)):
-                best = np.argsort(-confidence, kind="stable")[:most]
-                best = best[confidence[best] >= sure]
-                pseudo[learner][pool[best]] = y
-                given[learner] = given.get(learner, 0) + len(best)
-        told.append((given["content"], given["metadata"]))
-        if not sum(told[-1]):
+        found = over(pool, lambda parts, lines=lines: sure_rows(parts, past, lines, sure))
+        if not found:
+            break  # nothing in the pool
+        cuts, given = {}, dict.fromkeys(VIEWS, 0)
+        for learner in VIEWS:
+            for y in (0, 1):
+                cuts[learner, y], n = cut_at(found[f"{learner}:{y}"], share * found["rows"][0])
+                given[learner] += n
+            total[learner] += given[learner]
+        counts.append((given["content"], given["metadata"]))
+        if not sum(counts[-1]):
             break
-        lines = {v: fit(v) for v in x}
-    a, b = (lines[v].logit(x[v][held]) for v in ("content", "metadata"))
-    out = CoTrained(views, lines["content"], lines["metadata"], combined(np.stack([a, b], 1), label[held]), 0.0, told)
+        past.append(Round(lines, sure, cuts))
+        weight = {v: 0.5 * min(1.0, len(train) / max(1, total[v])) for v in VIEWS}
+        lines = {v: calibrated(v, line) for v, line in taught(learners, pool, past, weight, passes).items()}
+    a, b = (lines[v].logit(x[v][held]) for v in VIEWS)
+    out = CoTrained(views, lines["content"], lines["metadata"], combined(np.stack([a, b], 1), label[held]), 0.0, counts, past)
     good = np.sort(out.score(content[held], metadata[held])[label[held] == 1])
     if len(good):
         out.cut = float(min(0.0, good[int(spared * len(good))]))
@@ -273,25 +479,25 @@ def co_train(
 
 
 def _features(rows: DataFrame, views: Views, carried: list[str]) -> DataFrame:
-    """Adds the features of both views to sample rows: dense shares and column lists."""
-    item = "array<double>", "array<int>"
+    """The features of both views: dense shares and column lists."""
+    types = dict(rows.dtypes)
+    schema = ", ".join([f"{k} {types[k]}" for k in carried] + ["c_dense array<float>, m_dense array<float>, c_own array<int>, m_own array<int>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, langs, sources = (batch.column(c).to_pylist() for c in ("text", "lang", "source"))
-            c = [views.content(t) for t in texts]
-            m = [views.metadata(*r) for r in zip(texts, langs, sources)]
-            yield pa.record_batch(
-                [
-                    *(batch.column(k) for k in carried),
-                    *(pa.array([[float(v) for v in r[0]] for r in part], pa.list_(pa.float64())) for part in (c, m)),
-                    *(pa.array([r[1] for r in part], pa.list_(pa.int32())) for part in (c, m)),
-                ],
-                [*carried, "c_dense", "m_dense", "c_own", "m_own"],
-            )
+        for whole in batches:
+            for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+                texts, langs, sources = (batch.column(c).to_pylist() for c in ("text", "lang", "source"))
+                c = [views.content(t) for t in texts]
+                m = [views.metadata(*r) for r in zip(texts, langs, sources)]
+                yield pa.record_batch(
+                    [
+                        *(batch.column(k) for k in carried),
+                        *(pa.array([[float(v) for v in r[0]] for r in part], pa.list_(pa.float32())) for part in (c, m)),
+                        *(pa.array([r[1] for r in part], pa.list_(pa.int32())) for part in (c, m)),
+                    ],
+                    [*carried, "c_dense", "m_dense", "c_own", "m_own"],
+                )
 
-    types = dict(rows.dtypes)
-    schema = ", ".join([f"{k} {types[k]}" for k in carried] + [f"c_dense {item[0]}, m_dense {item[0]}, c_own {item[1]}, m_own {item[1]}"])
     return rows.mapInArrow(run, schema)
 
 
@@ -300,38 +506,42 @@ def fit_quality(
     labels: DataFrame,
     key: str = "doc_id",
     labelled_rows: int = 8_000,
-    unlabelled_rows: int = 4_000,
     vocabulary_size: int = 600,
-    max_values: int = 1_000,
+    own_values: int = 256,
 ) -> CoTrained | None:
-    """Fit on the labelled documents (label 1: keep) and a sample of the others.
+    """Fit on the labelled documents (label 1: keep) and on all the others.
 
     ``docs``: key, text, lang, source; ``labels``: key, label.  A key with contradicting labels
-    counts as 0; null labels are dropped.  None when a class has fewer than 10 rows.
-    ``max_values``: languages and sources with a column of their own, by frequency in the
-    sample; all others share one.
+    counts as 0; null labels and keys are dropped.  At most ``labelled_rows`` keys are taken as labelled,
+    each with one row (of rows with one key that with the smallest hash of its values); documents
+    of any other key, or of none, are the pool.  None when a class has fewer than 10 rows.
+    ``own_values``: languages and sources with a column of their own, by frequency in the
+    labelled rows; the others are dealt to ``RARE`` columns by hash.
     """
     spread = F.xxhash64(F.col(key), F.lit("quality"))
-    marked = labels.where(F.col("label").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min("label").alias("label"))
-    chosen = marked.orderBy(spread, key).limit(labelled_rows)
-    rows = docs.where(F.col(key).isNotNull()).select(
+    marked = labels.where(F.col("label").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min("label").cast("int").alias("label"))
+    rows = docs.select(
         F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source")
     )
-    chosen = F.broadcast(materialize(chosen.withColumnRenamed(key, "key"), "quality-labels"))  # at most labelled_rows
-    # documents without a label: the same hash, and nothing of the labels is broadcast but the sample
-    count = docs.count()
-    part = min(1.0, 2.0 * (unlabelled_rows + labelled_rows) / max(1, count))
-    near = rows.where(F.pmod(F.xxhash64("key", F.lit("pool")), F.lit(1 << 20)) < int(part * (1 << 20)) + 1)
-    ids = near.select("key").join(marked.select(F.col(key).alias("key")), "key", "left_anti").distinct()
-    pool = F.broadcast(materialize(ids.orderBy(F.xxhash64("key", F.lit("pool")), "key").limit(unlabelled_rows).withColumn("label", F.lit(-1)), "quality-pool"))
-    sample = rows.join(F.broadcast(chosen.select("key", F.col("label").cast("int")).unionByName(pool)), "key")
-    sample = materialize(sample.dropDuplicates(["key"]), "quality-sample")
+    with recorded() as paths:
+        try:
+            return _fit(rows, marked.orderBy(spread, key).limit(labelled_rows).withColumnRenamed(key, "key"), vocabulary_size, own_values)
+        finally:
+            discard(docs.sparkSession, paths)  # the model is all that is left of them
+
+
+def _fit(rows: DataFrame, chosen: DataFrame, vocabulary_size: int, own_values: int) -> CoTrained | None:
+    chosen = F.broadcast(materialize(chosen, "quality-labels"))  # at most labelled_rows
+    place = F.xxhash64("text", "lang", "source")
+    having = materialize(rows.join(chosen, "key").withColumn("place", place), "quality-having")
+    first = having.groupBy("key").agg(F.min("place").alias("place"))  # one row a chosen key
+    sample = materialize(having.join(F.broadcast(first), ["key", "place"]).dropDuplicates(["key"]), "quality-sample")
 
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if min(sizes.get(0, 0), sizes.get(1, 0)) < 10:
         return None
     bare = F.array_distinct(F.transform(words(ascii_lower(F.col("text"))), lambda w: F.btrim(w, F.lit(EDGE))))
-    seen = sample.where("label >= 0").select("label", F.explode(bare).alias("word")).where("word <> ''")
+    seen = sample.select("label", F.explode(bare).alias("word")).where("word <> ''")
     counts = seen.groupBy("word").agg(F.sum(F.col("label")).alias("up"), F.sum(1 - F.col("label")).alias("down"))
     # words by the chi-square of their presence
     n1, n0, up, down = float(sizes[1]), float(sizes[0]), F.col("up"), F.col("down")
@@ -341,13 +551,13 @@ def fit_quality(
     vocabulary = {r["word"]: i for i, r in enumerate(best.select("word").collect())}
     values = {}
     for column in ("lang", "source"):
-        top = sample.where(F.col(column).isNotNull()).groupBy(column).count().orderBy(F.desc("count"), column).limit(max_values).collect()
+        top = sample.where(F.col(column).isNotNull()).groupBy(column).count().orderBy(F.desc("count"), column).limit(own_values).collect()
         values[column] = {r[column]: i + 1 for i, r in enumerate(top)}
     views = Views(vocabulary, values["lang"], values["source"])
     found = _features(sample, views, ["key", "label"]).orderBy(F.xxhash64("key", F.lit("order")), "key").collect()
-    content = design([(r["c_dense"], r["c_own"]) for r in found], len(vocabulary))
-    metadata = design([(r["m_dense"], r["m_own"]) for r in found], len(views.langs) + len(views.sources) + 2)
-    return co_train(views, content, metadata, np.array([r["label"] for r in found]))
+    content, metadata = (design([(r[f"{v}_dense"], r[f"{v}_own"]) for r in found], n) for v, n in zip("cm", views.columns()))
+    pool = materialize(_features(rows.join(chosen, "key", "left_anti"), views, []), "quality-pool")
+    return co_train(views, content, metadata, np.array([r["label"] for r in found]), pool)
 
 
 def score_quality(docs: DataFrame, model: CoTrained | None, prefix: str = "") -> DataFrame:
@@ -362,7 +572,8 @@ def score_quality(docs: DataFrame, model: CoTrained | None, prefix: str = "") ->
     if model is None:
         return docs.select("*", *[F.lit(None).cast("double").alias(c) for c in new[:3]], F.lit(True).alias(new[3]))
     views = model.views
-    sizes = len(views.vocabulary), len(views.langs) + len(views.sources) + 2
+    sizes = views.columns()
+    model = replace(model, past=[])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -322,9 +322,9 @@ def test_quality_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = cotraining.quality_labels(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
     seen = F.pmod("doc_id", F.lit(2)) == 0
-    model = cotraining.fit_quality(docs, labels.where(seen), labelled_rows=2000, unlabelled_rows=1000)
+    model = cotraining.fit_quality(docs, labels.where(seen), labelled_rows=2000)
     assert sum(map(sum, model.rounds)) > 0
-    again = cotraining.fit_quality(docs.repartition(3), labels.where(seen), labelled_rows=2000, unlabelled_rows=1000)
+    again = cotraining.fit_quality(docs.repartition(3), labels.where(seen), labelled_rows=2000)
     assert np.allclose(again.mix, model.mix, atol=1e-3)
     scored = cotraining.score_quality(docs, model).join(labels.where(~seen), "doc_id")
     rates = {r.label: r.kept for r in scored.groupBy("label").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
