@@ -27,6 +27,11 @@ def summary_sketch(spark, sf):
     return rounded(summary.filter(F.col("stat").isin("min", "mean", "max")), 4)
 
 
+def summary_sketch_ranks(spark, sf):
+    """The sketched quartiles themselves, held against their exact ranks."""
+    return P.sketch_ranks(table(spark, sf, "lineitem"), NUMBERS).select("column", "stat", "n", "within")
+
+
 def null_counts(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey",
@@ -156,6 +161,14 @@ QUERIES = {
         + " UNION ALL SELECT 'l_returnflag', 'string', 'length', count(*)::DOUBLE FROM lineitem",
     ),
     "summary_sketch": (summary_sketch, _summary_sql(_BASIC)),
+    "summary_sketch_ranks": (
+        summary_sketch_ranks,
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", '{stat}' AS stat, count({c}) AS n, TRUE AS within FROM lineitem"
+            for c in NUMBERS
+            for stat in P.QUARTILES.values()
+        ),
+    ),
     "null_counts": (
         null_counts,
         "SELECT 'l_orderkey' AS \"column\", 0::BIGINT AS n_null, 0::BIGINT AS n_nan, 0.0::DOUBLE AS null_rate UNION ALL "

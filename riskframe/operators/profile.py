@@ -12,6 +12,7 @@ from riskframe.functions.columns import numeric_columns, quoted, string_columns
 from riskframe.operators.ranks import exact_quantiles
 
 QUARTILES = {0.25: "q1", 0.5: "median", 0.75: "q3"}
+ACCURACY = 10_000  # of sketched quartiles: their ranks are off by at most n / ACCURACY
 
 
 def summarize(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
@@ -39,7 +40,7 @@ def summarize(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tr
             aggs.append(f(x).alias(f"{stat}{i}"))
             cell(c, stat, F.col(f"{stat}{i}"))
         if not exact:
-            aggs.append(F.percentile_approx(x, list(QUARTILES), 10_000).alias(f"q{i}"))
+            aggs.append(F.percentile_approx(x, list(QUARTILES), ACCURACY).alias(f"q{i}"))
             for k, stat in enumerate(QUARTILES.values()):
                 cell(c, stat, F.col(f"q{i}")[k])
     for c in text:
@@ -55,6 +56,29 @@ def summarize(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tr
     return out.unionByName(quartiles)
 
 
+def sketch_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """How good the quartiles of ``summarize(exact=False)`` are: ``(column, stat, value, n, below,
+    upto, within)``, where ``below`` and ``upto`` count the values under the quartile and up to it,
+    and ``within`` says that its rank lies between them, give or take n / ACCURACY.
+
+    Two scans with partial aggregates; three rows a column reach the driver.  Nulls are left
+    out; a column without values has none of its own to judge: ``value`` and ``within`` are null."""
+    probs = {stat: p for p, stat in QUARTILES.items()}
+    sketched = summarize(df, cols, exact=False).where(F.col("stat").isin(*probs)).collect()
+    aggs, cells = [], []
+    for i, r in enumerate(sketched):
+        x, v = quoted(r["column"]).cast("double"), F.lit(r["value"]).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x < v).alias(f"b{i}"), F.count_if(x <= v).alias(f"u{i}")]
+        n, below, upto, rank = F.col(f"n{i}"), F.col(f"b{i}"), F.col(f"u{i}"), F.col(f"n{i}") * probs[r["stat"]]
+        slack = n / ACCURACY + 1
+        fits = F.when(v.isNotNull(), (below <= rank + slack) & (upto >= rank - slack))
+        cells.append(F.struct(
+            F.lit(r["column"]).alias("column"), F.lit(r["stat"]).alias("stat"), v.alias("value"),
+            n.alias("n"), below.alias("below"), upto.alias("upto"), fits.alias("within"),
+        ))
+    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+
+
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column, n_null, n_nan, null_rate)``: one row per column from a single aggregate."""
     cols = list(df.columns if cols is None else cols)

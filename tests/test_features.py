@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import features as S
 from riskframe.operators import ranks
 from riskframe.operators.design import design, dummy_columns, factor, factors
+from riskframe.operators.profile import sketch_ranks
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +97,22 @@ def test_clean_pipeline_keeps_unseen_labels(spark):
     fitted = S.clean_pipeline(["n"], ["c"]).fit(train)
     out = fitted.transform(spark.createDataFrame([(None, "zz")], "n double, c string")).first()
     assert out["n_imp"] == 2.0 and out["c_idx"] == 2.0 and len(out["c_oh"]) == 3
+
+
+def test_sketched_quartiles_against_their_ranks(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 10 != 0, F.hash("id") % 100_003).cast("double").alias("wide"),
+        F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id") % 2).alias("hot"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    found = {(r.column, r.stat): r for r in sketch_ranks(rows, ["wide", "hot", "none"]).collect()}
+    assert len(found) == 9
+    values = sorted(r.wide for r in rows.where("wide is not null").collect())
+    for stat, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        r = found["wide", stat]
+        assert r.n == 27_000 and r.within and r.below == sum(v < r.value for v in values) and r.upto == sum(v <= r.value for v in values)
+        assert abs(r.upto - p * r.n) <= r.n / 10_000 + 2
+        assert found["hot", stat].within and found["hot", stat].n == 30_000
+        none = found["none", stat]
+        assert (none.value, none.n, none.within) == (None, 0, None)
+    assert [found["hot", s].value for s in ("q1", "median", "q3")] == [0.0, 1.0, 7.0]
