@@ -109,6 +109,13 @@ def group_report(spark, sf):
     return rounded(classification_report(scored.dropna(subset=["pred"]), by=["grp"]))
 
 
+def group_report_all(spark, sf):
+    """As ``group_report``, with the group of one class, which has no model: predicted label "null"."""
+    frame = grouped(spark, sf)
+    scored = L.per_group_logit(frame, "grp", "y", RIDGE_X).score(frame, threshold=0.58)
+    return rounded(classification_report(scored, by=["grp"], nulls="label"))
+
+
 def group_rmse(spark, sf):
     frame = grouped(spark, sf)
     scored = L.per_group_logit(frame, "grp", "y", RIDGE_X).score(frame, threshold=0.58)
@@ -256,6 +263,16 @@ def _group_report_sql() -> str:
     )
 
 
+def _group_report_all_sql() -> str:
+    measures = "0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE"
+    lone = f"(SELECT y, count(*) AS n FROM study WHERE {_GRP} = 'big' GROUP BY 1)"
+    return (
+        _group_report_sql() + f" UNION ALL SELECT 'big', y::VARCHAR, {measures}, n FROM {lone} "
+        f"UNION ALL SELECT 'big', l, {measures}, n FROM {lone}, (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) v(l) "
+        f"UNION ALL SELECT 'big', 'null', {measures}, 0"
+    )
+
+
 _SCALED_POINTS = (
     "r AS (SELECT " + ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in SCALED) + " FROM lineitem), "
     "pts AS MATERIALIZED (SELECT row_number() OVER () AS id, l_linenumber, ["
@@ -320,6 +337,7 @@ QUERIES = {
         + f" FROM ({_GROUP_LONG}) GROUP BY 1",
     ),
     "group_report": (group_report, _group_report_sql()),
+    "group_report_all": (group_report_all, _group_report_all_sql()),
     "group_rmse": (
         group_rmse,
         _GROUPS + ", " + _GROUP_SCORED

@@ -26,7 +26,8 @@ def segment_risk(
     df: DataFrame, y: str, x: Sequence[str], k: int = 6, seed: int = 25, threshold: float = 0.58, cluster_on: Sequence[str] | None = None
 ) -> Segments:
     """Cluster on the rescaled columns (the target is one of them unless ``cluster_on`` says
-    otherwise), label the unscaled rows and fit, score and report each cluster in-sample."""
+    otherwise), label the unscaled rows and fit, score and report each cluster in-sample.  A cluster
+    of one class has no model: the report counts its rows under the predicted label "null"."""
     columns = list(cluster_on) if cluster_on is not None else [*x, y]
     vectors = scaled_vector(df, columns)
     clusters = kmeans(vectors, "features", k, seed)
@@ -37,7 +38,7 @@ def segment_risk(
     ids = sorted(models.fits)
     return Segments(
         clusters, rows, models,
-        classification_report(scored.dropna(subset=["pred"]), y, by=["cluster"]),
+        classification_report(scored, y, by=["cluster"], nulls="label"),
         rmse(scored, y, by=["cluster"]),
         importance_matrix(importance, "cluster", ids),
     )

@@ -115,8 +115,10 @@ def test_segments(cohort):
     assert sorted(out.importance.columns) == sorted(["feature", *[f"cluster_{i}" for i in out.models.fits]])
     sizes = {r["cluster"]: r["n"] for r in out.rows.groupBy("cluster").agg(F.count("*").alias("n")).collect()}
     modelled = {g for g, fit in out.models.fits.items() if fit is not None}
-    for r in out.report.filter("label = 'accuracy'").collect():
-        assert r["support"] == sizes[r["cluster"]] and r["cluster"] in modelled
+    found = {r["cluster"]: r for r in out.report.filter("label = 'accuracy'").collect()}
+    assert {c: r["support"] for c, r in found.items()} == sizes
+    unjudged = {r["cluster"] for r in out.report.filter("label = 'null'").collect()}
+    assert unjudged == set(sizes) - modelled and all(found[c]["f1"] == 0 for c in unjudged)
     assert out.rmse.count() == len(sizes)
 
 
