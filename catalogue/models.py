@@ -12,6 +12,7 @@ from riskframe.functions.columns import quoted
 from riskframe.operators import cluster as K
 from riskframe.operators import linear as L
 from riskframe.operators.design import dummy_columns, factors
+from riskframe.operators.group_models import group_logit_table
 from riskframe.operators.metrics import classification_report, rmse
 from riskframe.operators.stepwise import stepwise_logit
 
@@ -116,6 +117,19 @@ def group_report_all(spark, sf):
     return rounded(classification_report(scored, by=["grp"], nulls="label"))
 
 
+def group_models_by_part(spark, sf):
+    """A model for every part, from a table of fits: as many groups as the table has parts."""
+    fits = group_logit_table(line_study(spark, sf).withColumnRenamed("l_partkey", "grp"), "grp", "y", RIDGE_X)
+    return rounded(fits.to_df(), 5)
+
+
+def group_scores_by_part(spark, sf):
+    """Every row scored by the model of its part, summed by return flag."""
+    lines = line_study(spark, sf).withColumnRenamed("l_partkey", "grp")
+    scored = group_logit_table(lines, "grp", "y", RIDGE_X).score(lines)
+    return rounded(scored.groupBy("l_returnflag").agg(F.sum("prob").alias("expected"), F.count("prob").alias("n")), 4)
+
+
 def group_rmse(spark, sf):
     frame = grouped(spark, sf)
     scored = L.per_group_logit(frame, "grp", "y", RIDGE_X).score(frame, threshold=0.58)
@@ -238,6 +252,12 @@ _GROUPS = _with(
     "cells AS (SELECT * FROM cells_all WHERE grp <> 'big')",
     logit("fit", "cells", 3, ridge=1.0, group="grp"),
 )
+_PARTS = _with(
+    LINE_STUDY,
+    _cells("cells_all", {"x1": "l_quantity", "x2": "l_tax"}, "l_partkey"),
+    "cells AS (SELECT * FROM cells_all WHERE grp IN (SELECT grp FROM cells_all GROUP BY 1 HAVING sum(s) > 0 AND sum(s) < sum(n)))",
+    logit("fit", "cells", 3, ridge=1.0, group="grp"),
+)
 _GROUP_LONG = (
     "SELECT grp, 'l_quantity' AS feature, b1 AS v FROM fit UNION ALL SELECT grp, 'l_tax', b2 FROM fit "
     "UNION ALL SELECT 'big', 'l_quantity', NULL UNION ALL SELECT 'big', 'l_tax', NULL"
@@ -330,6 +350,16 @@ QUERIES = {
     "group_coefficients": (
         group_coefficients, _GROUPS + f"SELECT grp, feature, round(v, 5) AS importance FROM ({_GROUP_LONG})"
     ),
+    "group_models_by_part": (
+        group_models_by_part,
+        _PARTS + "SELECT grp, feature, round(v, 5) AS importance FROM (SELECT DISTINCT grp FROM cells_all) LEFT JOIN fit USING (grp), "
+        "LATERAL (VALUES ('l_quantity', b1), ('l_tax', b2)) t(feature, v)",
+    ),
+    "group_scores_by_part": (
+        group_scores_by_part,
+        _PARTS + "SELECT l_returnflag, round(sum(1 / (1 + exp(-(b0 + b1 * l_quantity + b2 * l_tax)))), 4) AS expected, count(b0) AS n "
+        "FROM study LEFT JOIN fit ON grp = l_partkey GROUP BY 1",
+    ),
     "group_importance_matrix": (
         group_importance_matrix,
         _GROUPS + "SELECT feature, "
