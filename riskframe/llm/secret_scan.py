@@ -1,16 +1,18 @@
 """Secrets in texts: fixed patterns, and strings that a primed compressor finds new.
 
-A candidate is a long run of key characters with letters and digits near a word that speaks of
+A candidate is a long run of key characters with a letter in it, near a word that speaks of
 secrets.  Its novelty is what it adds to the compressed size of the code around it, with a
-dictionary of usual identifiers at hand: identifiers, paths and repeated values add little, a
-random string adds about its own length.  Candidates that hardly compress are reported beside
-the pattern matches.  Each text is read whole, where it lies; nothing is shuffled.
+dictionary at hand: usual identifiers, and the pieces of words that most documents of the table
+hold.  Words, identifiers, paths and repeated values add little, a random string adds about its
+own length.  Candidates that hardly compress are reported beside the pattern matches.  Every
+text is read whole, twice: pieces are counted in the tasks and only their counts are shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -27,7 +29,16 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
+# Words and identifiers are made of pieces only; random strings of mixed case or with digits are not.
+RUN = re.compile(r"(?<![A-Za-z0-9])(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+)++(?![A-Za-z0-9])")
+# Pieces are shorter than any candidate, so that no copied secret is in the dictionary as a whole.
+PIECE = re.compile(r"[A-Z]?[a-z]{3,10}|[A-Z]{4,11}")
+PIECES = 8_000  # pieces in the dictionary, at most 96 kB
+HELD_PIECES = 200_000  # different pieces that a task counts before it hands them on
+BLOCK = 48  # bytes of a string that the coder takes at a time
+BLOCK_HEADER = 3  # bytes, of the format
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+PLAIN = re.compile(r"[+/_.=-]*[A-Za-z]?[a-z]+[+/_.=-]*")  # looks like a word, if an unusual one
 SENSITIVE = re.compile(r"passw|pwd|passphrase|secret|token|api.?key|access.?key|private.?key|auth|credential|bearer|signature", re.I | re.A)
 # Usual words of configuration and code, the primer of the dictionary.
 IDENTIFIERS = (
@@ -58,18 +69,52 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def frequent_pieces(texts: DataFrame, size: int = PIECES) -> str:
+    """The ``size`` pieces of words that stand in the most texts, two at least, most frequent last;
+    ties by code point.  All texts (column text, no nulls) are counted, each piece once per text."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[str] = Counter()
+
+        def hand_on() -> pa.RecordBatch:
+            out = pa.record_batch([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["piece", "n"])
+            held.clear()
+            return out
+
+        for batch in batches:
+            for t in batch.column("text"):
+                runs = {m[0] for m in RUN.finditer(t.as_py())}
+                held.update({piece for run in runs for piece in PIECE.findall(run)})
+                if len(held) > HELD_PIECES:
+                    yield hand_on()
+        yield hand_on()
+
+    found = texts.select("text").mapInArrow(counts, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    top = found.where("n > 1").orderBy(F.desc("n"), "piece").limit(size).collect()
+    return " ".join(r["piece"] for r in reversed(top))
+
+
 class Novelty:
     """Marginal compressed bytes of a string after its surroundings, for a primed compressor."""
 
-    def __init__(self, identifiers: str, level: int = 3):
+    def __init__(self, identifiers: str, level: int = 6):
         primer = zstandard.ZstdCompressionDict(identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         params = zstandard.ZstdCompressionParameters.from_level(level, write_checksum=False, write_content_size=False, write_dict_id=False)
+        primer.precompute_compress(compression_params=params)
         self.coder = zstandard.ZstdCompressor(dict_data=primer, compression_params=params)
 
     def ratio(self, text: str, start: int, end: int, around: int) -> float:
-        near = (text[max(0, start - around) : start] + text[end : end + around]).encode()
+        """Bytes that the string adds after its surroundings, for each of its own.  It goes through
+        the coder in blocks too short for a code of their own letters: only matches save bytes,
+        so that strings of few different characters, or long ones, are judged like others."""
+        stream = self.coder.compressobj()
+        stream.compress((text[max(0, start - around) : start] + text[end : end + around]).encode())
+        stream.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK)
         own = text[start:end].encode()
-        return (len(self.coder.compress(near + own)) - len(self.coder.compress(near))) / len(own)
+        added = 0
+        for at in range(0, len(own), BLOCK):
+            added += len(stream.compress(own[at : at + BLOCK])) + len(stream.flush(zstandard.COMPRESSOBJ_FLUSH_BLOCK)) - BLOCK_HEADER
+        return added / len(own)
 
 
 def novel_spans(text: str, taken: Sequence[tuple[int, int, str]], novelty: Novelty, least: float, around: int, reach: int) -> list[tuple[int, int, str]]:
@@ -78,11 +123,12 @@ def novel_spans(text: str, taken: Sequence[tuple[int, int, str]], novelty: Novel
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
         own = m[0]
-        if not (any(c.isdigit() for c in own) and any(c.isalpha() for c in own)):
+        if not any(c.isalpha() for c in own):
             continue
         if any(a < end and start < b for a, b, _ in taken):
             continue
-        if not SENSITIVE.search(text, max(0, start - reach), start):
+        near = reach // 4 if PLAIN.fullmatch(own) else reach
+        if not (SENSITIVE.search(text, max(0, start - near), start) or SENSITIVE.search(text, end, end + near)):
             continue
         if novelty.ratio(text, start, end, around) >= least:
             spans.append((start, end, "novel"))
@@ -97,7 +143,7 @@ def scan(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    identifiers: str = IDENTIFIERS,
+    identifiers: str | None = None,
     least: float = 0.8,
     around: int = 256,
     reach: int = 64,
@@ -105,13 +151,17 @@ def scan(
     """Spans of secrets in every text.
 
     Returns key and found: array of (kind, start, end, value) by start, then kind as listed;
-    code points, end exclusive.  ``least``: marginal compressed bytes a byte from which a
-    candidate counts as incompressible; ``around``: characters on each side it is measured
-    against; ``reach``: how far before it the sensitive word may stand.  One row per input row;
+    code points, end exclusive.  ``identifiers``: the dictionary; by default the fixed words above
+    after the frequent pieces of this table.  ``least``: marginal compressed bytes a byte from which
+    a candidate counts as incompressible; ``around``: characters on each side it is measured
+    against; ``reach``: how far before or after it the sensitive word may stand, a quarter of it
+    for what looks like a word.  Runs of digits alone are no candidates.  One row per input row;
     null and empty texts have no spans; null keys, repeated rows and other columns are harmless;
     an empty table gives an empty result.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if identifiers is None:
+        identifiers = f"{frequent_pieces(rows)} {IDENTIFIERS}"
     item = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

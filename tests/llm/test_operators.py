@@ -405,6 +405,34 @@ def test_secrets(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_secrets_of_any_alphabet_are_found_and_words_are_not(spark):
+    rng = random.Random(8)
+    vocabulary = ["responsibility", "configuration", "notwithstanding", "documentation", "the", "of", "value", "settings", "a", "was", "with"]
+    prose = lambda: " ".join(rng.choice(vocabulary) for _ in range(60))
+    alphabets = ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"]
+    planted, rows = {}, []
+    for i in range(300):
+        key = "".join(rng.choice(alphabets[i % 3]) for _ in range(16 + i % 25))
+        planted[i] = key
+        rows.append((i, f"{prose()} bearer {key} {prose()}" if i % 2 else f"{prose()} {key} is the credential {prose()}", "a"))
+    rows += [(1000 + i, f"{prose()} token {prose()} auth 123456789012345 {prose()} secret", "a") for i in range(300)]
+    # a copied secret does not become a usual word
+    rows += [(2000 + i, f"{prose()} bearer QxZbVnMkLpTrWsYdFgHjKcXeRu {prose()}", "a") for i in range(200)]
+    got = {r.doc_id: [s.value for s in r.found if s.kind == "novel"] for r in secret_scan.scan(frame(spark, rows)).collect()}
+    assert sum(got[i] == [key] for i, key in planted.items()) >= 285
+    assert sum(bool(got[1000 + i]) for i in range(300)) <= 3
+    assert sum(got[2000 + i] == ["QxZbVnMkLpTrWsYdFgHjKcXeRu"] for i in range(200)) >= 195
+
+
+def test_pieces_are_counted_once_a_text_in_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "HELD_PIECES", 2)
+    texts = ["alpha alpha alpha beta", "beta gammaDelta Q1alpha", "beta GAMMA alpha", "", "responsibilities", "gammaDelta responsibilities aXbYcZdefg"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    assert secret_scan.frequent_pieces(rows, 3) == "alpha Delta beta"
+    assert secret_scan.frequent_pieces(rows) == "ties responsibil gamma alpha Delta beta"
+    assert secret_scan.RUN.search("a" * 100_000 + "1") is None
+
+
 # ---- 9 ----
 
 
