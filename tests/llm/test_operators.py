@@ -315,6 +315,30 @@ def test_blocks_find_all_within_the_radius(spark):
     assert df.where(agree).count() == 200
 
 
+def test_shingles_are_numbered_by_occurrence_in_texts_of_any_length(spark):
+    rng = random.Random(4)
+    texts = [[rng.choice("abc") for _ in range(n)] for n in (1, 2, 3, 30)] + [["a"] * 50, [rng.choice(["x", "y\u00e9", "zz"]) for _ in range(20_000)]]
+    rows = spark.createDataFrame([(i, w, min(5, len(w))) for i, w in enumerate(texts)], "i int, w array<string>, width int")
+    for r in rows.select("i", "width", decontaminate.counted(F.col("w"), F.col("width")).alias("got")).collect():
+        w, seen, want = texts[r["i"]], {}, []
+        for at in range(max(len(w) - r["width"] + 1, 1)):
+            shingle = " ".join(w[at : at + r["width"]])
+            seen[shingle] = seen.get(shingle, 0) + 1
+            want.append(f"{shingle}\n{seen[shingle]}")
+        assert sorted(r["got"]) == sorted(want)
+
+
+def test_long_items_are_found(spark):
+    rng = random.Random(9)
+    item = [f"w{rng.randrange(5_000)}" for _ in range(8_000)]
+    near = ["changed" if i % 100 == 0 else w for i, w in enumerate(item)]
+    far = ["changed" if i % 10 == 0 else w for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(i, " ".join(["before"] * 50 + w + ["after"] * 50)) for i, w in enumerate((item, near, far))], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: list(r["items"]) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == {0: [7], 1: [7]}
+
+
 # ---- 6 ----
 
 
