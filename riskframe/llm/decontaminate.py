@@ -1,15 +1,17 @@
 """Benchmark decontamination by item-sized windows.
 
-A shingle that a document shares with a benchmark item says where the item would begin; the
-window of the item's length that begins there gets a SimHash.  Fingerprints are compared through
-a multi-index: with more blocks than the radius has bits, two fingerprints within the radius
-agree on a whole block, so none is missed.  What is left is decided by the exact similarity of
-the weighted shingles (a shingle weighs as often as it occurs).  Only built-in functions are used.
+All windows of an item's length are weighed by the shingles they share with it: an occurrence
+counts for the windows of one stretch of beginnings, so sums of these stretches tell every window
+without cutting it out.  The best window of a text and an item gets a SimHash.  Fingerprints are
+compared through a multi-index: with more blocks than the radius has bits, two fingerprints within
+the radius agree on a whole block, so none is missed.  What is left is decided by the exact
+similarity of the weighted shingles (a shingle weighs as often as it occurs).  Only built-in
+functions are used.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.shared import ascii_lower, materialize, table, words
@@ -65,6 +67,34 @@ def blocks(fingerprint: Column, radius: int) -> Column:
     )
 
 
+def best_windows(hits: DataFrame, percent: int) -> DataFrame:
+    """Per text (key, id) and item the first window that shares most with the item, where that can
+    reach ``percent``: (key, id, item, n, width, begin).
+
+    ``hits``: key, id, size, item, of, n, width, c, hash, at; the shingle begins at the places ``at``
+    of the text and stands ``c`` times in the item.  A window that begins at b shares the
+    occurrences of a shingle inside it, c at most.  So the one at p counts where the window
+    reaches p and the c-th occurrence before p lies outside: for one stretch of beginnings.
+    """
+    span = F.least("n", "size") - F.col("width") + 1  # shingles of a window
+    last = F.greatest(F.col("size") - F.col("n"), F.lit(0))  # the last beginning inside the text
+    passed = lambda i: F.when(i >= F.col("c"), F.get("at", (i - F.col("c")).cast("int")) + 1).otherwise(0)
+    stretch = F.transform("at", lambda p, i: F.struct(F.greatest(p - span + 1, passed(i)).alias("lo"), F.least(p, last).alias("hi")))
+    ends = F.flatten(
+        F.transform(
+            F.filter(stretch, lambda x: x["lo"] <= x["hi"]),
+            lambda x: F.array(F.struct(x["lo"].alias("begin"), F.lit(1).alias("step")), F.struct((x["hi"] + 1).alias("begin"), F.lit(-1).alias("step"))),
+        )
+    )
+    own = ["key", "id", "size", "item", "of", "n", "width"]
+    steps = hits.select(*own, F.explode(ends).alias("x")).groupBy(*own, F.col("x.begin").alias("begin")).agg(F.sum("x.step").alias("step"))
+    shared = steps.withColumn("shared", F.sum("step").over(Window.partitionBy(*own).orderBy("begin")))
+    best = shared.groupBy(*own).agg(F.max(F.struct("shared", (-F.col("begin")).alias("back"))).alias("best"))
+    whole = span + F.col("n") - F.col("width") + 1
+    reached = (100 + percent) * F.col("best.shared") >= percent * whole
+    return best.where(reached).select("key", "id", "item", "n", "width", (-F.col("best.back")).alias("begin"))
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -80,9 +110,10 @@ def find_leaks(
     Returns key, n_items, items (sorted array of item ids), one row per distinct key that has a
     window with at least ``percent`` similarity to an item.  Words are cut at blanks, A to Z is
     lower-cased, shingles have five words; an item of fewer words is one shingle and matches
-    where its words stand in a row.  Windows are as long as the item and begin where a shared
-    shingle puts its beginning, moved inside the document.  At 80 % similarity fingerprints
-    differ in about 10 of 64 bits; ``radius`` 24 is five standard deviations above.
+    where its words stand in a row.  Windows are as long as the item (or the whole text, if that
+    is shorter) and begin at any word; per text and item the one that shares most is compared.  At
+    80 % similarity fingerprints differ in about 10 of 64 bits; ``radius`` 24 is five standard
+    deviations above.
 
     Null and empty texts match nothing, nor do items without words; null keys match like others
     (together); repeated rows count once; other columns are ignored; empty tables give no rows.
@@ -90,29 +121,31 @@ def find_leaks(
     items = (
         benchmark.select(F.col(item).alias("item"), words(ascii_lower(F.col(item_text))).alias("w"))
         .where(F.size("w") > 0)
+        .distinct()
         .withColumn("width", F.least(F.lit(WIDTH), F.size("w")))
     )
-    places = items.select("item", "width", F.size("w").alias("n"), F.posexplode(hashes(F.col("w"), F.col("width"))).alias("at", "hash"))
-    places = materialize(places, "leak-shingles")
-    widths = sorted(r["width"] for r in places.select("width").distinct().collect())  # 1 to 5
-    probes = F.broadcast(places) if places.count() <= BROADCAST_ROWS else places
+    # rows of one item id with different texts stay apart
+    shingles = items.select("item", F.xxhash64("w").alias("of"), F.size("w").alias("n"), "width", F.explode(hashes(F.col("w"), F.col("width"))).alias("hash"))
+    shingles = materialize(shingles.groupBy("item", "of", "n", "width", "hash").agg(F.count("*").cast("int").alias("c")), "leak-shingles")
+    widths = sorted(r["width"] for r in shingles.select("width").distinct().collect())  # 1 to 5
+    probes = F.broadcast(shingles) if shingles.count() <= BROADCAST_ROWS else shingles
 
     tokens = docs.select(F.col(key).alias("key"), words(ascii_lower(F.col(text))).alias("w"))
     hits = None
     for width in widths:
         own = tokens.where(F.size("w") >= width).select(
-            "key", F.size("w").alias("size"), F.posexplode(hashes(F.col("w"), F.lit(width))).alias("pos", "hash")
+            "key", F.xxhash64("w").alias("id"), F.size("w").alias("size"), F.posexplode(hashes(F.col("w"), F.lit(width))).alias("pos", "hash")
         )
         found = own.join(probes.where(F.col("width") == width), "hash")
-        begin = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n")))
-        found = found.select("key", "item", "n", "width", begin.alias("begin")).distinct()
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         return docs.select(key, F.lit(0).cast("long").alias("n_items"), F.array(F.lit(None).cast(dict(benchmark.dtypes)[item])).alias("items")).limit(0)
-    hits = materialize(hits, "leak-hits")
+    shingle = ["key", "id", "size", "item", "of", "n", "width", "c", "hash"]
+    hits = hits.groupBy(*shingle).agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    best = materialize(best_windows(hits, percent), "leak-best")
 
-    asked = hits.groupBy(F.col("key").alias("k")).agg(F.collect_set(F.struct("item", "n", "width", "begin")).alias("windows"))
-    inside = tokens.join(asked, F.col("key").eqNullSafe(F.col("k"))).select(
+    asked = best.groupBy(F.col("key").alias("k"), F.col("id").alias("of_text")).agg(F.collect_set(F.struct("item", "n", "width", "begin")).alias("windows"))
+    inside = tokens.join(asked, F.col("key").eqNullSafe(F.col("k")) & (F.xxhash64("w") == F.col("of_text"))).select(
         "key", F.explode(F.transform("windows", lambda x: F.struct(x["item"].alias("item"), x["width"].alias("width"), F.slice("w", x["begin"] + 1, x["n"]).alias("w")))).alias("x")
     )
     windows = inside.select("key", "x.*").withColumn("own", hashes(F.col("w"), F.col("width"))).withColumn("print", simhash("own"))

@@ -3,6 +3,7 @@
 import base64
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -339,6 +340,33 @@ def test_long_items_are_found(spark):
     assert got == {0: [7], 1: [7]}
 
 
+def test_every_window_of_a_text_is_looked_at(spark):
+    """Windows whose beginning no shared shingle puts there: exchanged halves, words put in."""
+    rng = random.Random(12)
+    item = [f"w{i}" for i in range(100)]
+    rest = lambda n: [f"r{rng.randrange(10**6)}" for _ in range(n)]
+    swapped = rest(60) + item[50:] + item[:50] + rest(60)
+    widened = rest(60) + item[:33] + ["in"] + item[33:66] + ["out"] + item[66:] + rest(60)
+    cut = rest(60) + item[50:] + rest(20) + item[:50] + rest(60)
+    short = item[45:] + item[5:45]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((swapped, widened, cut, short, rest(300)))], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: list(r["items"]) for r in decontaminate.find_leaks(docs, bench).collect()}
+
+    def leaks(w):
+        """Brute force over all windows."""
+        count = lambda v: Counter(tuple(v[i : i + 5]) for i in range(len(v) - 4))
+        for b in range(max(len(w) - len(item), 0) + 1):
+            one, other = count(w[b : b + len(item)]), count(item)
+            shared = (one & other).total()
+            if 100 * shared >= 80 * (one.total() + other.total() - shared):
+                return True
+        return False
+
+    assert got == {i: [7] for i, w in enumerate((swapped, widened, cut, short)) if leaks(w)}
+    assert 0 in got
+
+
 # ---- 6 ----
 
 
