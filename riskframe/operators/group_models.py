@@ -1,10 +1,11 @@
 """Ridge logistic models for very many groups, held as a table.
 
 ``linear.per_group_logit`` keeps a fit per group on the driver, which suits tens or hundreds of
-them.  Here the Newton state of every group is a row of a table, and the small systems are solved
-in tasks: the driver only asks whether a group is still moving.  Rows are laid out once, by group,
-with groups of many rows cut into parts; a pass brings the states to the rows, so that the rows
-stay where they are, and a group's partial sums, at most one per task that holds it, to its state.
+them.  Here a fit is a row of a table.  Rows are laid out once, by group, and a task fits the
+groups of a batch side by side to their end, all their steps in one reading.  Only groups of too
+many rows for that are cut into parts: the Newton state of each is a row of a table too, a pass
+brings the states to the rows, so that the rows stay where they are, and a group's partial sums,
+at most one per task that holds it, to its state.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
 from riskframe.operators.design import design
-from riskframe.operators.linear import LogitSet, _advance, _unpack
+from riskframe.operators.linear import LogitSet, _advance, _solve, _unpack
 from riskframe.operators.partials import matrix, vector
 from riskframe.sources.scratch import discard, materialize, recorded
 
@@ -88,22 +89,27 @@ def group_logit_table(
     scale = np.array([moments[f"sd_{c}"] or 1.0 for c in xs])
 
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a task holds so many rows of a group while it fits it; without a ridge columns may fall out, step by step
+    held = min(rows_per_part, BLOCK // (len(xs) + 2) ** 2) if math.isfinite(C) else 0
     per_part = max(rows_per_part, moments["cells"] // tasks)
-    sizes = cells.groupBy("g").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.ceil(F.count("*") / per_part).cast("int").alias("parts"))
+    sizes = cells.groupBy("g").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("rows"))
     none = F.lit(None).cast("array<double>")
     with recorded() as written:
         state = materialize(
-            sizes.select(
-                "g", "n", "s", "parts", none.alias("beta"), none.alias("best"), F.lit(float("inf")).alias("objective"),
-                F.lit(0).alias("iterations"), F.lit(False).alias("converged"), ((F.col("s") > 0) & (F.col("s") < F.col("n"))).alias("active"),
+            sizes.where(F.col("rows") > held).select(
+                "g", "n", "s", F.ceil(F.col("rows") / per_part).cast("int").alias("parts"), none.alias("beta"), none.alias("best"),
+                F.lit(float("inf")).alias("objective"), F.lit(0).alias("iterations"), F.lit(False).alias("converged"),
+                ((F.col("s") > 0) & (F.col("s") < F.col("n"))).alias("active"),
             ),
             "group-state",
         )
-    # a group has several parts only with more than a task's share of the rows: fewer of them than tasks,
-    # or than a part's rows go into all rows
-    cut = F.broadcast(state.where("parts > 1").select("g", "parts"))
-    part = F.pmod(F.xxhash64(*xs), F.coalesce("parts", F.lit(1)).cast("long")).cast("int")
-    rows = cells.join(cut, "g", "left").select("g", part.alias("part"), F.array(*xs).alias("x"), "s", "n")
+    # the groups of more than ``held`` rows: fewer than all rows hold that many
+    large = F.broadcast(state.select("g", "parts"))
+    values = F.array(*xs).alias("x")
+    small = cells.join(large, "g", "left_anti").select("g", values, "s", "n").repartition(tasks, "g").sortWithinPartitions("g")
+    small = materialize(_fitted(small, shift, scale, 1.0 / C, tol, max_iter), "group-models")
+    part = F.pmod(F.xxhash64(*xs), F.col("parts").cast("long")).cast("int")
+    rows = cells.join(large, "g").select("g", part.alias("part"), values, "s", "n")
     rows = rows.repartition(tasks, "g", "part").sortWithinPartitions("g", "part").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for step in range(max_iter + 12):
@@ -116,6 +122,7 @@ def group_logit_table(
     finally:
         rows.unpersist()
         discard(spark, folded)
+    state = state.select(*small.columns).unionByName(small)
     raw = [F.col("best")[i + 1] / float(v) for i, v in enumerate(scale)]
     start = F.col("best")[0]
     for c, m in zip(raw, shift):
@@ -125,6 +132,96 @@ def group_logit_table(
     return GroupTable(group, list(x), models)
 
 
+def _fitted(rows: DataFrame, shift, scale, ridge: float, tol: float, max_iter: int) -> DataFrame:
+    """The finished models of groups whose rows lie together: (g, n, s, best, iterations, converged)."""
+    kind = rows.schema["g"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []  # pieces of the last group, which may go on
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column(0)
+            codes = key.dictionary_encode().indices.to_numpy()
+            last = int(np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])[-1])
+            if last or (waiting and waiting[-1].column(0)[0] != key[0]):
+                # the last group begins in this batch: what lies before it is whole
+                yield fit([*waiting, batch.slice(0, last)])
+                waiting = []
+            waiting.append(batch.slice(last))
+        if waiting:
+            yield fit(waiting)
+
+    def fit(pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(pieces).combine_chunks().to_batches()[0]
+        key = whole.column(0)
+        codes = key.dictionary_encode().indices.to_numpy()
+        starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+        x = np.hstack([np.ones((whole.num_rows, 1)), (matrix(whole, "x") - shift) / scale])
+        s, n = vector(whole, "s"), vector(whole, "n")
+        best, known, iterations, converged = _newton(x, s, n, starts, ridge, scale, tol, max_iter)
+        offsets = pa.array(np.arange(len(starts) + 1, dtype=np.int32) * x.shape[1], mask=np.r_[~known, False])
+        return pa.RecordBatch.from_arrays(
+            [
+                key.take(pa.array(starts)), pa.array(np.add.reduceat(n, starts)), pa.array(np.add.reduceat(s, starts)),
+                pa.ListArray.from_arrays(offsets, pa.array(best.ravel())), pa.array(iterations), pa.array(converged),
+            ],
+            names=["g", "n", "s", "best", "iterations", "converged"],
+        )
+
+    return rows.mapInArrow(run, f"g {kind}, n double, s double, best array<double>, iterations int, converged boolean")
+
+
+def _newton(x: np.ndarray, s: np.ndarray, n: np.ndarray, starts: np.ndarray, ridge: float, scale, tol: float, max_iter: int) -> tuple[np.ndarray, ...]:
+    """The steps of ``linear._advance`` for all groups of the rows at once, until none moves:
+    coefficients, whether there are any, steps, whether they came to rest."""
+    count, p = len(starts), x.shape[1]
+    upper = np.triu_indices(p)
+    m = len(upper[0])
+    penalty = np.r_[0.0, ridge / np.asarray(scale) ** 2]
+    of = np.repeat(np.arange(count), np.diff(np.r_[starts, len(x)]))
+    successes, total = np.add.reduceat(s, starts), np.add.reduceat(n, starts)
+    active = (successes > 0) & (successes < total)
+    beta, best = np.zeros((count, p)), np.zeros((count, p))
+    known, converged = np.zeros(count, dtype=bool), np.zeros(count, dtype=bool)
+    objective, iterations = np.full(count, math.inf), np.zeros(count, dtype=np.int32)
+    for step in range(max_iter + 12):
+        now = np.flatnonzero(active)
+        if not len(now):
+            break
+        inside = active[of]
+        if not inside.all():
+            x, s, n, of = x[inside], s[inside], n[inside], of[inside]
+        at = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        sums = np.add.reduceat(_row_sums(x, s, n, beta[of] if step else None, upper), at, axis=0)
+        h = np.zeros((len(now), p, p))
+        h[:, upper[0], upper[1]] = h[:, upper[1], upper[0]] = sums[:, :m]
+        h += np.diag(penalty)
+        score, dev = sums[:, m : m + p], sums[:, -1]
+        if not step:
+            beta[now], objective[now], iterations[now] = _solved(h, score), dev, 1
+            continue
+        here = dev + (penalty * beta[now] ** 2).sum(axis=1)
+        change = np.abs(here - objective[now]) / (np.abs(here) + 0.1)
+        over = known[now] & (here > objective[now]) & (change > 1e-7) & (iterations[now] < max_iter)
+        far = now[over]  # overshoot: halve the step and look again
+        beta[far] = (beta[far] + best[far]) / 2
+        near = now[~over]
+        best[near], known[near], converged[near], objective[near] = beta[near], True, change[~over] < tol, here[~over]
+        active[near] = ~converged[near] & (iterations[near] < max_iter)
+        on = ~over & active[now]
+        beta[now[on]] += _solved(h[on], score[on] - penalty * beta[now[on]])
+        iterations[now[over | on]] += 1
+    return best, known, iterations, converged
+
+
+def _solved(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    try:
+        return np.linalg.solve(a, b[:, :, None])[:, :, 0]
+    except np.linalg.LinAlgError:
+        return np.array([_solve(one, side) for one, side in zip(a, b)])
+
+
 def _row_sums(x: np.ndarray, s: np.ndarray, n: np.ndarray, beta: np.ndarray | None, upper: tuple) -> np.ndarray:
     """What every row adds to X'WX (upper triangle), score and deviance of its group."""
     if beta is None:

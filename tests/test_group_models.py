@@ -79,3 +79,17 @@ def test_clashing_names(spark):
     assert len(made) == 4
     for r in made:
         assert r["coef"] == pytest.approx(fits[r["part"]].coef, abs=1e-7)
+
+
+def test_small_groups_are_fitted_in_one_reading(crowd, monkeypatch):
+    """No state passes between tasks for groups that a task can hold; cut ones come to the same."""
+    from riskframe.operators import group_models as G
+
+    few = crowd.where("grp in ('hot', 'g7', 'g1', 'g2', 'g11')")
+    cut = {r["grp"]: r for r in group_logit_table(few, "grp", "y", ["a", "b"], rows_per_part=1).models.collect()}
+    monkeypatch.setattr(G, "_step", lambda *_, **__: pytest.fail("a pass over the states"))
+    whole = {r["grp"]: r for r in group_logit_table(few, "grp", "y", ["a", "b"]).models.collect()}
+    assert set(whole) == set(cut) == {"hot", "g7", "g1", "g2", "g11"}
+    for g, one in whole.items():
+        assert (one["n"], one["successes"], one["converged"], one["iterations"]) == tuple(cut[g][c] for c in ("n", "successes", "converged", "iterations"))
+        assert one["coef"] == (cut[g]["coef"] and pytest.approx(cut[g]["coef"], abs=1e-9))
