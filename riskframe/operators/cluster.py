@@ -5,7 +5,8 @@ model and cluster, the count, the vector sum and the sum of squared distances.""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import quoted
-from riskframe.functions.keys import hash_hex, hash_unit
+from riskframe.functions.keys import hash_hex
 from riskframe.operators.features import minmax_scale
 from riskframe.operators.partials import dense, matrix, summed
 from riskframe.operators.placement import keep_for_passes, occupied_partitions, with_task
@@ -31,24 +32,39 @@ def _assign(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return best, gap
 
 
-SAME = 1e-9  # share of the squared lengths within which two distances are measured again, one by one
+ROUNDING = 2.0**-21  # of single precision, per term of a distance, with room
+STRIP = 4_096  # rows whose distances to the centers of a model stay in the processor's cache
 
 
 def _assign_many(x: np.ndarray, models: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The same for several sets of centers: one matrix product bounds all distances, and only
-    rows with more than one center within the rounding of the nearest are measured exactly."""
-    centers = np.concatenate(models)
-    lengths = (centers**2).sum(axis=1)
-    score = lengths / 2 - x @ centers.T
-    slack = SAME * ((x**2).sum(axis=1) + lengths.max())
-    out, a = [], 0
-    for model in models:
-        own = score[:, a : a + len(model)]
-        a += len(model)
-        best = own.argmin(axis=1)
-        close = np.flatnonzero((own <= own[np.arange(len(x)), best][:, None] + slack[:, None]).sum(axis=1) > 1)
-        best[close] = _assign(x[close], model)[0]
-        out.append((best, ((x - model[best]) ** 2).sum(axis=1)))
+    """The same for several sets of centers: matrix products in single precision bound all distances,
+    strip by strip, and only rows with more than one center within their rounding of the nearest
+    are measured exactly."""
+    middle = np.mean([model.mean(axis=0) for model in models], axis=0)
+    near_middle = [(model - middle).astype(np.float32) for model in models]
+    half = [(model.astype(float) ** 2).sum(axis=1)[:, None].astype(np.float32) / 2 for model in near_middle]
+    longest = max(2 * float(h.max()) for h in half)
+    out = [(np.zeros(len(x), dtype=np.int64), np.zeros(len(x))) for _ in models]
+    for at in range(0, len(x), STRIP):
+        part = x[at : at + STRIP]
+        columns = np.ascontiguousarray(part.T)
+        turned = columns - middle[:, None]
+        room = (ROUNDING * (len(columns) + 4) * ((turned**2).sum(axis=0) + longest)).astype(np.float32)
+        turned = turned.astype(np.float32)
+        for model, shifted, lengths, (best, gap) in zip(models, near_middle, half, out):
+            own, away = best[at : at + STRIP], gap[at : at + STRIP]
+            if len(model) > 1:
+                score = shifted @ turned
+                np.subtract(lengths, score, out=score)
+                # how many centers are near, and which it is where that is one
+                near = (score <= score.min(axis=0) + room).astype(np.min_scalar_type(len(model)))
+                many = near.sum(axis=0, dtype=near.dtype)
+                own[:] = (near * np.arange(len(model), dtype=near.dtype)[:, None]).sum(axis=0, dtype=near.dtype)
+                close = np.flatnonzero(many != 1)
+                if len(close):
+                    own[close] = _assign(part[close], model)[0]
+            for column, values in zip(columns, np.ascontiguousarray(model.T)):
+                away += (column - values.take(own)) ** 2
     return out
 
 
@@ -105,7 +121,57 @@ def first_centers(df: DataFrame, vector: str, k: int, seed: int) -> np.ndarray:
 
 def _vector_text(name: str):
     """Text of a vector in millionths: the same digits in every engine."""
-    return F.array_join(F.transform(name, lambda v: F.round(v * 1e6).cast("long").cast("string")), ",")
+
+    def millionths(v):
+        """Rounded half away from zero; ``round`` would take a decimal of every value."""
+        size = F.abs(v * 1e6)
+        whole = F.floor(size)
+        whole = whole + (size - whole >= 0.5).cast("long")
+        return F.when(v < 0, -whole).otherwise(whole).cast("string")
+
+    return F.array_join(F.transform(name, millionths), ",")
+
+
+def _draws(x: np.ndarray, seed: int) -> np.ndarray:
+    """A number in [0, 1) of every row, mixed from the bits of its values."""
+    h = np.full(len(x), (seed * 0x9E3779B97F4A7C15 + 1) % 2**64, dtype=np.uint64)
+    for column in np.ascontiguousarray((x + 0.0).T).view(np.uint64):
+        h = (h ^ column) + np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h = h ^ (h >> np.uint64(31))
+    return (h >> np.uint64(11)) * 2.0**-53
+
+
+def _drawn(rows: DataFrame, centers: np.ndarray, wanted: float, seed: int) -> tuple[float, np.ndarray]:
+    """The sum of the squared distances from the centers, and the different rows drawn with a
+    chance of their part in it times ``wanted``; one reading.  A task knows the sum of its own
+    rows so far, which is less: it keeps the rows that would be drawn by that, a handful, and the
+    whole sum decides among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cost, held = 0.0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = matrix(batch, "v")
+            gap = _assign_many(x, [centers])[0][1]
+            cost += gap.sum()
+            table = np.column_stack([gap, _draws(x, seed)])
+            first = table[:, 1] * (cost * (1 - 1e-8)) <= wanted * gap
+            fresh = np.column_stack([table[first], x[first]])
+            held = np.unique(fresh if held is None else np.concatenate([held, fresh]), axis=0)
+            held = held[held[:, 1] * (cost * (1 - 1e-8)) <= wanted * held[:, 0]]
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([cost]), pa.array([held.ravel()])], names=["cost", "held"])
+
+    tasks = rows.mapInArrow(run, "cost double, held array<double>").collect()
+    cost = math.fsum(r["cost"] for r in tasks)
+    held = np.array([v for r in tasks for v in r["held"]], dtype=float).reshape(-1, centers.shape[1] + 2)
+    if not cost:
+        return 0.0, held[:0, 2:]
+    # nine digits, so that the order of adding up does not show
+    return cost, held[held[:, 1] < wanted / float(f"{cost:.8e}") * held[:, 0], 2:]
 
 
 def oversampled_centers(df: DataFrame, vector: str, k: int, seed: int, rounds: int = 5, factor: float = 2.0) -> np.ndarray:
@@ -117,26 +183,11 @@ def oversampled_centers(df: DataFrame, vector: str, k: int, seed: int, rounds: i
     are reduced to k by weighted k-means++ and a few weighted updates."""
     rows = df.select(F.col(vector).alias("v"))
     taken = first_centers(df, vector, 1, seed)
-
-    def gap_to(centers: np.ndarray):
-        @F.arrow_udf("double")
-        def gap(v: pa.Array) -> pa.Array:
-            x = v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
-            return pa.array(_assign_many(x, [centers])[0][1])
-
-        return gap(F.col("v"))
-
     for i in range(rounds):
-        measured = rows.withColumn("gap", gap_to(taken))
-        cost = measured.agg(F.sum("gap")).first()[0]
+        cost, fresh = _drawn(rows, taken, factor * k, seed + i + 1)
         if not cost:
             break
-        # nine digits, so that the order of adding up does not show
-        chance = F.lit(factor * k / float(f"{cost:.8e}")) * F.col("gap")
-        draw = hash_unit([_vector_text("v")], seed + i + 1)
-        fresh = measured.where(draw < chance).select("v").distinct().collect()
-        if fresh:
-            taken = np.unique(np.concatenate([taken, np.array([r["v"] for r in fresh], dtype=float)]), axis=0)
+        taken = np.unique(np.concatenate([taken, fresh]), axis=0)
     if len(taken) < k:
         return first_centers(df, vector, k, seed)
 
@@ -196,9 +247,10 @@ def kmeans_many(
 
             def kernel(batch, now=now):
                 x = matrix(batch, "x")
+                columns = np.ascontiguousarray(x.T)
                 out = {}
                 for k, (which, gap) in zip(now, _assign_many(x, list(now.values()))):
-                    sums = np.column_stack([np.bincount(which, x[:, j], k) for j in range(dim)])
+                    sums = np.column_stack([np.bincount(which, column, k) for column in columns])
                     out[k] = np.concatenate([np.bincount(which, minlength=k), sums.ravel(), [gap.sum()]])
                 return out
 
