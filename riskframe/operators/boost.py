@@ -219,8 +219,9 @@ class HeldRows:
 def boost_rows(df: DataFrame, y: str, x: Sequence[str], max_bins: int, at: str) -> BoostRows:
     scan = scan_features(df, x, max_bins)
     cuts = find_cuts(df, scan, max_bins, at)
-    rows = binned(df, y, cuts, scan.fold is not None)
-    return BoostRows(keep_for_passes(rows, scan.occupied) if scan.fold is None else keep_folded(rows, scan.fold), cuts)
+    fold = scan.folded(cuts)
+    rows = binned(df, y, cuts, fold is not None, scan.fold is not None)
+    return BoostRows(keep_for_passes(rows, scan.occupied) if fold is None else keep_folded(rows, fold), cuts)
 
 
 def _margin_reader(models: Sequence[Booster], written: int, width: int, dtype) -> Callable:
@@ -522,7 +523,7 @@ def sweep(
     scan = scan_features(train_df, x, max_bins)
     cuts = find_cuts(train_df, scan, max_bins, "value" if newton else "midpoint")
     fold = scan.fold is not None
-    rows = binned(train_df, y, cuts, fold)
+    rows = binned(train_df, y, cuts, fold, fold)
     train_rows = BoostRows(keep_folded(rows, scan.fold) if fold else keep_for_passes(rows, scan.occupied), cuts)
     tested = binned(test_df, y, cuts, fold)
     test_tasks = with_task(tested.select("y")).agg(occupied_partitions()).first()[0]

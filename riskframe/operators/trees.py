@@ -24,6 +24,8 @@ from riskframe.operators.partials import matrix, vector
 from riskframe.operators.placement import keep_for_passes, occupied_partitions, with_task
 
 TIE = 1e-10  # relative gain difference below which two splits count as equal
+FOLD = 8  # rows that one of a folded table has to stand for
+FOLD_BINNED = 4  # the same where the number of bins says it for certain
 ROUNDING = 1e-13  # share of a node's sums that a difference may leave of nothing
 
 
@@ -91,6 +93,15 @@ class Scan:
     ranges: dict[int, tuple[float, float]]
     fold: int | None  # rows after folding, if rows repeat often enough for that
     occupied: int  # tasks that hold rows
+    rows: int
+
+    def folded(self, cuts: Cuts | ExactCuts) -> int | None:
+        """Rows after folding with two labels, or nothing if that is not worth it: columns of many values
+        may leave few different rows once they are in bins."""
+        if self.fold is not None or isinstance(cuts, ExactCuts):
+            return self.fold
+        most = 2 * math.prod(len(p) + 1 for p in cuts.points)
+        return most if most * FOLD_BINNED <= self.rows else None
 
 
 def scan_features(df: DataFrame, x: Sequence[str], max_bins: int) -> Scan:
@@ -106,14 +117,11 @@ def scan_features(df: DataFrame, x: Sequence[str], max_bins: int) -> Scan:
         *[F.max(c).alias(f"hi_{c}") for c in names],
     ).first()
     few = [c for c in names if seen[c] <= 1.2 * max_bins]
-    values: dict[str, list] = {c: [] for c in few}
-    if few:
-        # at most about 1.5 * max_bins values per feature by the sketch above
-        for r in wide.select(*few).unpivot([], few, "f", "v").dropna().distinct().collect():
-            values[r["f"]].append(r["v"])
+    # at most about 1.5 * max_bins values per feature by the sketch above
+    values = wide.agg(*[F.collect_set(F.when(~F.isnan(c), F.col(c))).alias(c) for c in few]).first().asDict() if few else {}
     listed = {i: np.unique(np.array(values[c], dtype=float) + 0.0) for i, c in enumerate(names) if len(values.get(c, ())) <= max_bins and c in values}
     ranges = {i: (seen[f"lo_{c}"], seen[f"hi_{c}"]) for i, c in enumerate(names) if i not in listed}
-    return Scan(list(x), listed, ranges, 2 * seen["rows"] if seen["rows"] * 8 <= seen["n"] else None, seen["occupied"])
+    return Scan(list(x), listed, ranges, 2 * seen["rows"] if seen["rows"] * FOLD <= seen["n"] else None, seen["occupied"], seen["n"])
 
 
 def find_cuts(df: DataFrame, scan: Scan, max_bins: int, at: str) -> Cuts | ExactCuts:
@@ -164,20 +172,30 @@ def byte_column(values: np.ndarray) -> pa.Array:
 
 
 def _coded(packed: DataFrame, cuts: Cuts | ExactCuts) -> DataFrame:
-    """``(x, y)`` to ``(bins, y)``."""
+    """``(x, y[, n])`` to ``(bins, y[, n])``."""
+    names = ["bins", *packed.columns[1:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 bins = cuts.bin(matrix(batch, "x"))
-                yield pa.RecordBatch.from_arrays([byte_column(bins), batch.column(1)], names=["bins", "y"])
-
-    return packed.mapInArrow(run, "bins binary, y double")
-
-
-def binned(df: DataFrame, y: str, cuts: Cuts | ExactCuts, fold: bool = False) -> DataFrame:
-    """``(bins binary, y double, n double)``; equal rows become one row with a count if folding."""
-    out = _coded(df.select(feature_array(cuts.features).alias("x"), quoted(y).cast("double").alias("y")), cuts)
+                yield pa.RecordBatch.from_arrays([byte_column(bins), *batch.columns[1:]], names=names)
+
+    return packed.mapInArrow(run, ", ".join(["bins binary", *[f"{c} double" for c in names[1:]]]))
+
+
+def binned(df: DataFrame, y: str, cuts: Cuts | ExactCuts, fold: bool = False, repeated: bool = False) -> DataFrame:
+    """``(bins binary, y double, n double)``; equal rows become one row with a count if folding.
+    Where the values themselves are ``repeated``, they are counted before they are coded."""
+    label = quoted(y).cast("double").alias("y")
+    if fold and repeated:
+        values = [quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(cuts.features)]
+        names = [f"x{i}" for i in range(len(values))]
+        counts = df.select(*values, label).groupBy(*names, "y").agg(F.count("*").cast("double").alias("n"))
+        out = _coded(counts.select(F.array(*names).alias("x"), "y", "n"), cuts)
+        # codes of values are as different as the values
+        return out if isinstance(cuts, ExactCuts) else out.groupBy("bins", "y").agg(F.sum("n").alias("n"))
+    out = _coded(df.select(feature_array(cuts.features).alias("x"), label), cuts)
     if fold:
         return out.groupBy("bins", "y").agg(F.count("*").cast("double").alias("n"))
     return out.withColumn("n", F.lit(1.0))

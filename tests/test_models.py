@@ -262,3 +262,32 @@ def test_shap_equals_the_definition(cohort, monkeypatch, small):
         bins = model.cuts.bin(np.array([[float(r[c]) for c in names]]))[0]
         want = sum(shapley_by_subsets(t, bins, 4) for t in model.trees)
         assert [got[r["id"], c] for c in names] == pytest.approx(want.tolist(), abs=1e-9)
+
+
+def test_rows_are_folded_once_they_are_in_bins(spark):
+    """A column of more values than bins: different rows, but few of them after binning."""
+    rows = spark.range(6_000).select(F.rand(3).alias("a"), F.floor(F.rand(4) * 3).cast("int").alias("b"), F.rand(5).alias("u"))
+    df = rows.select("a", "b", (F.col("u") < F.col("a") * 0.6 + F.col("b") * 0.1).cast("int").alias("y")).persist()
+    kept = B.boost_rows(df, "y", ["a", "b"], 32, "value")
+    table = kept.kept.df.agg(F.count("*").alias("rows"), F.sum("n").alias("n")).first()
+    assert table["rows"] <= 32 * 3 * 2 and table["n"] == 6_000
+    kept.release()
+    folded = B.newton_boost(df, "y", ["a", "b"], rounds=3, max_depth=3, max_bins=32)
+    whole = B.BoostRows(B.keep_for_passes(B.binned(df, "y", folded.cuts), 8), folded.cuts)
+    model = B.Booster("newton", folded.cuts, folded.params, base=folded.base)
+    B._train_one(whole, model, 3, 3)
+    for one, other in zip(folded.trees, model.trees):
+        assert list(one.feature) == list(other.feature) and list(one.cut) == list(other.cut)
+        assert list(one.value) == pytest.approx(list(other.value))
+
+
+def test_repeated_values_are_counted_before_they_are_coded(spark, monkeypatch):
+    values = [(0.0, 1.5, 0), (-0.0, 1.5, 0), (2.25, -3.0, 1), (2.25, -3.0, 0), (1e300, 7.0, 1)]
+    df = spark.createDataFrame(values * 40, "a double, b double, y int")
+    for cuts in (B.ExactCuts(["a", "b"], []), B.Cuts(["a", "b"], [np.array([1.0, 3.0]), np.array([0.0])], "value")):
+        plain, counted = (sorted(map(tuple, B.binned(df, "y", cuts, True, r).collect())) for r in (False, True))
+        assert plain == counted and sum(r[2] for r in counted) == 200
+    coded = []
+    monkeypatch.setattr("riskframe.operators.trees._coded", lambda packed, cuts, run=B.binned.__globals__["_coded"]: (coded.append(packed.count()), run(packed, cuts))[1])
+    B.binned(df, "y", cuts, True, True).count()
+    assert coded == [4]
