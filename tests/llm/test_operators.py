@@ -367,6 +367,66 @@ def test_every_window_of_a_text_is_looked_at(spark):
     assert 0 in got
 
 
+def holds(w, item):
+    """Brute force: whether a window of the item's length has 80 % similarity to it."""
+    width = min(5, len(item))
+    count = lambda v: Counter(tuple(v[i : i + width]) for i in range(len(v) - width + 1))
+    for b in range(max(len(w) - len(item), 0) + 1):
+        one, other = count(w[b : b + len(item)]), count(item)
+        shared = (one & other).total()
+        if shared and 100 * shared >= 80 * (one.total() + other.total() - shared):
+            return True
+    return False
+
+
+def drill(rng):
+    """A text of few different shingles: two to four words over and over, a slip at times."""
+    period, n, at = rng.randint(2, 4), rng.randint(18, 60), rng.randrange(4)
+    return [rng.choice("ab") if rng.random() < 0.01 else "abcd"[(at + i) % period] for i in range(n)]
+
+
+def test_similar_texts_are_found_however_far_their_fingerprints(spark):
+    """Two halves that vote about as often decide a fingerprint's bit by one shingle more."""
+    rng = random.Random(21)
+    items = [["a", "b"] * 10 + ["a"], [*"abc"] * 7, *[drill(rng) for _ in range(30)]]
+    texts = [["b", "a"] * 10 + ["b"], [f"w{i}" for i in range(9)], *[drill(rng) for _ in range(120)]]
+    want = {i: found for i, w in enumerate(texts) if (found := [j for j, item in enumerate(items) if holds(w, item)])}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: list(r["items"]) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert 0 in want[0] and 1 not in want
+    assert got == want
+
+
+def test_firm_bits_are_the_same_in_every_similar_text(spark):
+    rng = random.Random(22)
+    texts = [drill(rng) for _ in range(80)]
+    count = lambda v: Counter(tuple(v[i : i + 5]) for i in range(len(v) - 4))
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(texts)], "i int, w array<string>").withColumn("own", decontaminate.hashes(F.col("w"), F.lit(5)))
+    rows = df.select("i", decontaminate.simhash("own").alias("print"), decontaminate.firm("own", 80).alias("firm")).collect()
+    similar, told = 0, 0
+    for x in rows:
+        for y in rows:
+            item, window = count(texts[x.i]), count(texts[y.i])
+            if window.total() <= item.total():
+                shared, apart = (item & window).total(), (x.print ^ y.print) & x.firm
+                if 100 * shared >= 80 * (item.total() + window.total() - shared):
+                    similar += 1
+                    assert apart == 0
+                else:
+                    told += apart != 0
+    assert similar > 80 and told > 80
+
+
+def test_items_without_an_id_are_found(spark):
+    one, other, both = ([f"{x}{i}" for i in range(20)] for x in "xyz")
+    docs = spark.createDataFrame([(1, " ".join(one)), (2, " ".join(one + both + other)), (3, " ".join(both)), (4, "none of these")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, " ".join(one)), (None, " ".join(other)), (5, " ".join(both))], "item_id long, text string")
+    found = decontaminate.find_leaks(docs, bench)
+    assert {r.doc_id: (r.n_items, list(r["items"])) for r in found.collect()} == {1: (1, [None]), 2: (2, [None, 5]), 3: (1, [5])}
+    assert decontaminate.marked(docs, found).where("contaminated").count() == 3
+
+
 # ---- 6 ----
 
 

@@ -32,6 +32,14 @@ def test_leaks_go_by_row(spark, doc_id):
     assert got == Counter(" ".join(t) for t in (clean, twice, twice, words(5)))
 
 
+def test_leaks_go_whatever_their_words_and_the_items_ids(spark, tmp_path):
+    """Alternating words whose fingerprints are far apart, and an item without an id."""
+    bare, drill, clean = words(1), ["yes", "no"] * 10 + ["yes"], words(2)
+    spark.createDataFrame([(None, " ".join(bare)), (1, " ".join(drill))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = frame(spark, [(1, words(3, 9) + bare, "a"), (2, drill[1:] + ["no"], "a"), (3, clean, "a")])
+    assert [r.doc_id for r in pipeline.benchmark_leaks(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 @pytest.mark.parametrize("doc_id", [None, 7])
 def test_one_of_each_group_stays(spark, doc_id):
     text, clean, mixed = words(1), words(2), words(3)
